@@ -1,0 +1,95 @@
+"""PageRank with a tolerance, as rounds of DataFrame joins."""
+
+from __future__ import annotations
+
+import tempfile
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tripmart.operators.dimension import Dimension
+from tripmart.operators.graph import Graph, edge_weights
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> None:
+    """Use the folder the cluster names; make one only for a local session without it."""
+    context = spark.sparkContext
+    if context.getCheckpointDir() is not None:
+        return
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named is None:
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        named = tempfile.mkdtemp(prefix="tripmart-checkpoint-")
+    context.setCheckpointDir(named)
+
+
+def pagerank(graph: Graph, reset: float = 0.15, tol: float = 0.01) -> DataFrame:
+    """``id, pagerank`` for every vertex; the ranks sum to the number of vertices.
+
+    Every vertex starts with rank and delta ``reset``. In each round a vertex
+    whose delta exceeds ``tol`` sends it along its out-edges, split by their
+    number; a receiver adds ``1 - reset`` times what it got, and that addition
+    is its next delta. A vertex that received nothing sends nothing in the next
+    round. The end is reached when no delta exceeds ``tol``, which must happen:
+    a round passes on at most ``1 - reset`` of the deltas it sends. Edges with
+    an unknown end are left out. Vertex ids are unique.
+
+    Only folded edges take part, so a round costs as much as there are distinct
+    pairs, not trips. Each round reads and writes checkpoints, so a lost executor
+    costs one round at most.
+    """
+    if not 0 < reset < 1 or tol <= 0:
+        raise ValueError("reset must lie between 0 and 1, tol must be positive")
+    vertices = graph.vertices
+    ensure_checkpoint_dir(vertices.rows.sparkSession)
+
+    def ids(name: str) -> DataFrame:
+        return vertices.side(vertices.rows.select(F.col("id").alias(name)))
+
+    edges = edge_weights(graph.edges).join(ids("src"), "src").join(ids("dst"), "dst").checkpoint()
+    out_weight = edges.groupBy("src").agg(F.sum("w").alias("out_w"))
+    ranks = (
+        vertices.rows.select("id")
+        .join(out_weight, F.col("id") == F.col("src"), "left")
+        .select(
+            "id",
+            "out_w",
+            F.lit(reset).alias("rank"),
+            F.lit(reset).alias("delta"),
+        )
+        .checkpoint()
+    )
+    active = reset > tol
+    while active:
+        ranks = _round(ranks, edges, vertices.small, reset, tol).checkpoint()
+        largest = ranks.agg(F.max("delta")).first()[0]
+        active = largest is not None and largest > tol
+    return _scaled(ranks)
+
+
+def _round(
+    ranks: DataFrame, edges: DataFrame, small: bool, reset: float, tol: float
+) -> DataFrame:
+    senders = ranks.filter(F.col("delta") > tol).select(
+        F.col("id").alias("src"), (F.col("delta") / F.col("out_w")).alias("share")
+    )
+    messages = (
+        edges.join(Dimension(senders, small).side(senders), "src")
+        .groupBy("dst")
+        .agg(F.sum(F.col("share") * F.col("w")).alias("received"))
+        .select(F.col("dst").alias("id"), ((1 - reset) * F.col("received")).alias("gain"))
+    )
+    return ranks.join(messages, "id", "left").select(
+        "id",
+        "out_w",
+        (F.col("rank") + F.coalesce("gain", F.lit(0.0))).alias("rank"),
+        F.col("gain").alias("delta"),
+    )
+
+
+def _scaled(ranks: DataFrame) -> DataFrame:
+    """Make up for what vertices without out-edges swallow."""
+    size = ranks.agg(F.count("*").alias("n"), F.sum("rank").alias("sum")).first()
+    factor = size["n"] / size["sum"] if size["n"] else 1.0
+    return ranks.select("id", (F.col("rank") * F.lit(factor)).alias("pagerank"))
