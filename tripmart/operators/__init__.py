@@ -13,7 +13,7 @@ from tripmart.operators.graph import (
     zone_vertices,
 )
 from tripmart.operators.metrics import Count, Mean, Metric, Total, aggregate_trips
-from tripmart.operators.pagerank import pagerank
+from tripmart.operators.vertex_rank import pagerank
 from tripmart.operators.profile import preview, row_count, schema_report
 from tripmart.operators.ranking import top_k, top_n_per_group
 from tripmart.operators.routes import shared_routes

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart.operators.dimension import Dimension
@@ -49,28 +49,29 @@ def pagerank(graph: Graph, reset: float = 0.15, tol: float = 0.01) -> DataFrame:
 
     edges = edge_weights(graph.edges).join(ids("src"), "src").join(ids("dst"), "dst").checkpoint()
     out_weight = edges.groupBy("src").agg(F.sum("w").alias("out_w"))
+    start = F.lit(reset)
     ranks = (
         vertices.rows.select("id")
         .join(out_weight, F.col("id") == F.col("src"), "left")
-        .select(
-            "id",
-            "out_w",
-            F.lit(reset).alias("rank"),
-            F.lit(reset).alias("delta"),
-        )
+        .select("id", "out_w", start.alias("rank"), start.alias("delta"))
         .checkpoint()
     )
-    active = reset > tol
-    while active:
-        ranks = _round(ranks, edges, vertices.small, reset, tol).checkpoint()
-        largest = ranks.agg(F.max("delta")).first()[0]
-        active = largest is not None and largest > tol
+    if Dimension.measure(edges).small:
+        # measured pairs that fit one partition: their sums need no shuffle
+        edges = edges.coalesce(1)
+    largest = reset
+    while largest is not None and largest > tol:
+        deltas = Observation()
+        following = _round(ranks, edges, vertices.small, reset, tol)
+        ranks = following.observe(deltas, F.max("delta").alias("largest")).checkpoint()
+        largest = deltas.get["largest"]
     return _scaled(ranks)
 
 
 def _round(
     ranks: DataFrame, edges: DataFrame, small: bool, reset: float, tol: float
 ) -> DataFrame:
+    """One exchange of deltas; senders and messages are at most one row per vertex."""
     senders = ranks.filter(F.col("delta") > tol).select(
         F.col("id").alias("src"), (F.col("delta") / F.col("out_w")).alias("share")
     )
@@ -80,7 +81,7 @@ def _round(
         .agg(F.sum(F.col("share") * F.col("w")).alias("received"))
         .select(F.col("dst").alias("id"), ((1 - reset) * F.col("received")).alias("gain"))
     )
-    return ranks.join(messages, "id", "left").select(
+    return ranks.join(Dimension(messages, small).side(messages), "id", "left").select(
         "id",
         "out_w",
         (F.col("rank") + F.coalesce("gain", F.lit(0.0))).alias("rank"),
