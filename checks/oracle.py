@@ -259,7 +259,10 @@ def statements() -> dict[str, str]:
             " WHERE Pickup_Borough = 'AFRICA' AND Dropoff_Borough = 'ASIA'"
         ),
         "shared_routes_top10": SHARED_ROUTES,
-        "graph_vertices": graph("SELECT id, Borough, Zone, service_zone FROM zones"),
+        "graph_vertices": (
+            "SELECT s_suppkey AS id, CAST(s_nationkey AS VARCHAR) AS Borough, s_name AS Zone,"
+            " '' AS service_zone FROM supplier"
+        ),
         "graph_edges": graph(
             "SELECT pickup_location AS src, dropoff_location AS dst FROM trips"
         ),

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 500_000
-BROADCAST_BYTES = 64 * 1024 * 1024
+BROADCAST_BYTES = 32 * 1024 * 1024
 
 
 @dataclass(frozen=True)
@@ -26,16 +26,14 @@ class Dimension:
         max_rows: int = BROADCAST_ROWS,
         max_bytes: int = BROADCAST_BYTES,
     ) -> Dimension:
-        """Count rows and text bytes in one job that returns two numbers."""
-        widths = [
-            F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)).cast("long")
-            for c in rows.columns
-        ]
-        width = sum(widths[1:], widths[0])
-        size = rows.agg(F.count("*").alias("rows"), F.sum(width).alias("bytes")).first()
-        small = size["rows"] <= max_rows and (size["bytes"] or 0) <= max_bytes
-        return cls(rows, small)
+        """Count the rows, and the bytes of their text unless the rows are already too many."""
+        return cls(rows, rows.count() <= max_rows and _text_bytes(rows) <= max_bytes)
 
     def side(self, rows: DataFrame) -> DataFrame:
         """Hint a projection of this dimension; a large one is left to Spark's own choice."""
         return F.broadcast(rows) if self.small else rows
+
+
+def _text_bytes(rows: DataFrame) -> int:
+    width = F.octet_length(F.concat_ws("", *(F.col(c).cast("string") for c in rows.columns)))
+    return rows.agg(F.sum(width.cast("long"))).first()[0] or 0

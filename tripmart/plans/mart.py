@@ -21,23 +21,21 @@ from tripmart.operators import (
 class Mart:
     """Trips with the dimension of each end; every report starts here.
 
-    ``raw`` has the trip schema with ``date`` in unix seconds. ``pickup`` and
-    ``dropoff`` are usually one and the same dimension.
+    ``trips`` carry a DATE and its ``month``. ``pickup`` and ``dropoff`` are
+    usually one and the same dimension.
     """
 
-    raw: DataFrame
+    trips: DataFrame
     pickup: Dimension
     dropoff: Dimension
 
     @classmethod
     def of(cls, trips: DataFrame, pickup: DataFrame, dropoff: DataFrame | None = None) -> Mart:
+        """Trips with ``date`` in unix seconds, or staged trips, which have a month."""
+        dated = trips if "month" in trips.columns else with_calendar(trips)
         start = Dimension.measure(pickup)
         end = start if dropoff is None else Dimension.measure(dropoff)
-        return cls(trips, start, end)
-
-    @property
-    def trips(self) -> DataFrame:
-        return with_calendar(self.raw)
+        return cls(dated, start, end)
 
     @property
     def enriched(self) -> DataFrame:
@@ -45,7 +43,7 @@ class Mart:
 
     def graph(self) -> Graph:
         vertices = Dimension(zone_vertices(self.pickup.rows), self.pickup.small)
-        return Graph(vertices, trip_edges(self.raw))
+        return Graph(vertices, trip_edges(self.trips))
 
     def report(
         self,

@@ -29,6 +29,11 @@ def monthly_driver_earnings(mart: Mart) -> DataFrame:
     return monthly_report(mart, EARNINGS)
 
 
+def monthly_all(mart: Mart) -> DataFrame:
+    """The three measures in one pass."""
+    return monthly_report(mart, TRIPS, PROFIT, EARNINGS)
+
+
 def provider_series(report: DataFrame, business: str) -> DataFrame:
     """One provider's months in order; the filter reaches the scan below the report."""
     return equals(report, business=business).orderBy("month")

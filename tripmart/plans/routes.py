@@ -9,5 +9,5 @@ from tripmart.plans.mart import Mart
 
 
 def shared_routes_top(mart: Mart, businesses: dict[str, str], k: int = 10) -> DataFrame:
-    shared = shared_routes(mart.raw, mart.pickup, mart.dropoff, businesses)
+    shared = shared_routes(mart.trips, mart.pickup, mart.dropoff, businesses)
     return top_k(shared, "total_count", ["Route"], k)

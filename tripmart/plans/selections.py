@@ -32,7 +32,7 @@ def _located(mart: Mart, origin: str, destination: str) -> DataFrame:
     A semi join on ids says before the zone joins which trips can match, and
     Catalyst moves it to the table that an id comes from.
     """
-    trips = mart.raw
+    trips = mart.trips
     ends = (("pickup_location", mart.pickup, origin), ("dropoff_location", mart.dropoff, destination))
     for key, zones, borough in ends:
         ids = equals(zones.rows, Borough=borough).select(F.col("LocationID").alias(f"{key}_id"))

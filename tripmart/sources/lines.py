@@ -47,13 +47,13 @@ def split_fields(lines: DataFrame, names: list[str], separator: str = ",") -> Da
 
 def parse_csv_fields(lines: DataFrame, names: list[str], separator: str = ",") -> DataFrame:
     """Quote-aware split; lines with another number of fields are dropped."""
-    text = T.StructType([T.StructField(name, T.StringType()) for name in (*names, "_rejected")])
+    text = ", ".join(f"`{name}` STRING" for name in (*names, "_rejected"))
     options = {
         "mode": "PERMISSIVE",
         "columnNameOfCorruptRecord": "_rejected",
         "sep": separator,
     }
-    parsed = lines.select(F.from_csv(F.col(LINE), text.simpleString()[7:-1], options).alias("f"))
+    parsed = lines.select(F.from_csv(F.col(LINE), text, options).alias("f"))
     kept = parsed.filter(F.col("f._rejected").isNull())
     # the csv parser reads a blank as null; a blank stays an empty string here
     return kept.select(*(F.coalesce(F.col(f"f.{n}"), F.lit("")).alias(n) for n in names))

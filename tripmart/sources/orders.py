@@ -100,19 +100,22 @@ def trips_by_party(table: OrderTables) -> DataFrame:
 
 
 def supplier_zones(table: OrderTables) -> DataFrame:
-    return _party_zones(table("supplier"), "s_suppkey", "s_name")
+    """Suppliers as zones, one borough per nation number."""
+    return table("supplier").select(
+        F.col("s_suppkey").alias("LocationID"),
+        F.col("s_nationkey").cast("string").alias("Borough"),
+        F.col("s_name").alias("Zone"),
+        F.lit("").alias("service_zone"),
+    )
 
 
 def customer_zones(table: OrderTables) -> DataFrame:
-    return _party_zones(table("customer"), "c_custkey", "c_name")
-
-
-def _party_zones(party: DataFrame, key: str, name: str) -> DataFrame:
-    return party.select(
-        F.col(key).alias("LocationID"),
-        F.lit("").alias("Borough"),
-        F.col(name).alias("Zone"),
-        F.lit("").alias("service_zone"),
+    """Customers as zones, one borough per nation number."""
+    return table("customer").select(
+        F.col("c_custkey").alias("LocationID"),
+        F.col("c_nationkey").cast("string").alias("Borough"),
+        F.col("c_name").alias("Zone"),
+        F.col("c_mktsegment").alias("service_zone"),
     )
 
 
