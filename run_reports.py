@@ -13,6 +13,7 @@ from pyspark.sql import SparkSession
 
 from tripmart.operators import with_calendar
 from tripmart.plans import Mart, Settings, catalog
+from tripmart.session import configured
 from tripmart.sources import (
     read_staged_trips,
     read_trips,
@@ -71,7 +72,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> list[str]:
 
 
 def main() -> None:
-    spark = SparkSession.builder.appName("tripmart-reports").getOrCreate()
+    spark = configured(SparkSession.builder.appName("tripmart-reports")).getOrCreate()
     for path in run(spark, options()):
         print(path)
     spark.stop()

@@ -1,6 +1,9 @@
 from __future__ import annotations
 
+import subprocess
+import sys
 from collections import Counter
+from pathlib import Path
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -135,3 +138,24 @@ def test_pagerank_without_edges_or_rounds(spark):
 def test_pagerank_refuses_rounds_without_end(spark, reset, tol):
     with pytest.raises(ValueError, match="reset"):
         pagerank(graph(spark, EDGES), reset, tol)
+
+
+SHARED_FOLDER_JOB = """
+import sys
+from pyspark.sql import SparkSession
+from tripmart.operators import Dimension, Graph, pagerank
+
+builder = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false")
+spark = builder.config("spark.checkpoint.dir", sys.argv[1]).getOrCreate()
+vertices = spark.createDataFrame([(1,), (2,)], "id int")
+edges = spark.createDataFrame([(1, 2)], "src int, dst int")
+print(pagerank(Graph(Dimension(vertices, True), edges), 0.17, 0.1).count())
+"""
+
+
+def test_checkpoints_go_where_the_session_says(tmp_path):
+    root = Path(__file__).resolve().parent.parent
+    command = [sys.executable, "-c", SHARED_FOLDER_JOB, str(tmp_path / "shared")]
+    done = subprocess.run(command, cwd=root, capture_output=True, text=True, timeout=120)
+    assert done.stdout.strip() == "2"
+    assert list((tmp_path / "shared").glob("*/rdd-*"))

@@ -12,16 +12,16 @@ from tripmart.operators.graph import Graph, edge_weights
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the folder the cluster names; make one only for a local session without it."""
+    """Use the folder the session names; make one only for a local session without it."""
     context = spark.sparkContext
-    if context.getCheckpointDir() is not None:
-        return
+    current = context.getCheckpointDir()
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named is None:
+    if named is None and current is None:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         named = tempfile.mkdtemp(prefix="tripmart-checkpoint-")
-    context.setCheckpointDir(named)
+    if named is not None and (current is None or named.rstrip("/") not in current):
+        context.setCheckpointDir(named)
 
 
 def pagerank(graph: Graph, reset: float = 0.15, tol: float = 0.01) -> DataFrame:

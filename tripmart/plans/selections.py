@@ -33,7 +33,10 @@ def _located(mart: Mart, origin: str, destination: str) -> DataFrame:
     Catalyst moves it to the table that an id comes from.
     """
     trips = mart.trips
-    ends = (("pickup_location", mart.pickup, origin), ("dropoff_location", mart.dropoff, destination))
+    ends = (
+        ("pickup_location", mart.pickup, origin),
+        ("dropoff_location", mart.dropoff, destination),
+    )
     for key, zones, borough in ends:
         ids = equals(zones.rows, Borough=borough).select(F.col("LocationID").alias(f"{key}_id"))
         trips = trips.join(zones.side(ids), F.col(key) == F.col(f"{key}_id"), "left_semi")

@@ -157,11 +157,9 @@ def trip_lines(table: OrderTables) -> DataFrame:
         F.col("l_tax").cast("string"),
         hourly_rate,
     ]
-    line = (
-        F.when(number == 6, F.concat_ws(",", *fields))
-        .when(number == 7, F.concat_ws(",", *fields, per_mile, F.lit("")))
-        .otherwise(F.concat_ws(",", *fields, per_mile))
-    )
+    last = F.when(number == 6, "").otherwise(F.concat(F.lit(","), per_mile))
+    surplus = F.when(number == 7, ",").otherwise("")
+    line = F.concat(F.concat_ws(",", *fields), last, surplus)
     return table("lineitem").select(_with_headers(line, TRIP_HEADER, number == 1).alias("value"))
 
 
