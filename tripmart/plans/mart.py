@@ -30,9 +30,16 @@ class Mart:
     dropoff: Dimension
 
     @classmethod
-    def of(cls, trips: DataFrame, pickup: DataFrame, dropoff: DataFrame | None = None) -> Mart:
+    def of(
+        cls,
+        trips: DataFrame,
+        pickup: DataFrame,
+        dropoff: DataFrame | None = None,
+        *,
+        year: bool = False,
+    ) -> Mart:
         """Trips with ``date`` in unix seconds, or staged trips, which have a month."""
-        dated = trips if "month" in trips.columns else with_calendar(trips)
+        dated = trips if "month" in trips.columns else with_calendar(trips, year)
         start = Dimension.measure(pickup)
         end = start if dropoff is None else Dimension.measure(dropoff)
         return cls(dated, start, end)

@@ -12,9 +12,11 @@ PROFIT = Total("platform_profit", "rideshare_profit")
 EARNINGS = Total("driver_earnings", "driver_total_pay")
 
 
-def monthly_report(mart: Mart, *metrics: Metric) -> DataFrame:
-    keys = ["business", "month"]
-    return mart.report(dict(zip(keys, keys, strict=True)), keys, *metrics)
+def monthly_report(
+    mart: Mart, *metrics: Metric, keys: tuple[str, ...] = ("business", "month")
+) -> DataFrame:
+    """Add ``year`` to the keys for a mart that carries it."""
+    return mart.report({key: key for key in keys}, list(keys), *metrics)
 
 
 def monthly_trip_count(mart: Mart) -> DataFrame:

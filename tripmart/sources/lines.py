@@ -11,7 +11,7 @@ of the header line and turn numbers that do not parse into nulls.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -73,7 +73,7 @@ def assign_schema(rows: DataFrame, schema: T.StructType, float32: bool = False)
     results that were computed that way.
     """
 
-    def typed(field: T.StructField) -> F.Column:
+    def typed(field: T.StructField) -> Column:
         kind = field.dataType
         if isinstance(kind, T.StringType):
             return F.col(field.name)
