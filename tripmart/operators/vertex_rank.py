@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from tripmart.operators.dimension import Dimension
 from tripmart.operators.graph import Graph, edge_weights
 
+ROUNDS_PER_CHECKPOINT = 4
+
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Use the folder the session names; make one only for a local session without it."""
@@ -36,57 +38,63 @@ def pagerank(graph: Graph, reset: float = 0.15, tol: float = 0.01) -> DataFrame:
     an unknown end are left out. Vertex ids are unique.
 
     Only folded edges take part, so a round costs as much as there are distinct
-    pairs, not trips. Each round reads and writes checkpoints, so a lost executor
-    costs one round at most.
+    pairs, not trips. A few rounds run between two checkpoints; a lost executor
+    costs those rounds at most, and rounds past the end change nothing.
     """
     if not 0 < reset < 1 or tol <= 0:
         raise ValueError("reset must lie between 0 and 1, tol must be positive")
     vertices = graph.vertices
     ensure_checkpoint_dir(vertices.rows.sparkSession)
-
-    def ids(name: str) -> DataFrame:
-        return vertices.side(vertices.rows.select(F.col("id").alias(name)))
-
-    edges = edge_weights(graph.edges).join(ids("src"), "src").join(ids("dst"), "dst").checkpoint()
-    out_weight = edges.groupBy("src").agg(F.sum("w").alias("out_w"))
+    links = _links(graph)
     start = F.lit(reset)
-    ranks = (
-        vertices.rows.select("id")
-        .join(out_weight, F.col("id") == F.col("src"), "left")
-        .select("id", "out_w", start.alias("rank"), start.alias("delta"))
-        .checkpoint()
-    )
-    if Dimension.measure(edges).small:
-        # measured pairs that fit one partition: their sums need no shuffle
-        edges = edges.coalesce(1)
+    ranks = vertices.rows.select("id", start.alias("rank"), start.alias("delta"))
     largest = reset
     while largest is not None and largest > tol:
+        for _ in range(ROUNDS_PER_CHECKPOINT):
+            ranks = _round(ranks, links, vertices.small, reset, tol)
         deltas = Observation()
-        following = _round(ranks, edges, vertices.small, reset, tol)
-        ranks = following.observe(deltas, F.max("delta").alias("largest")).checkpoint()
+        ranks = ranks.observe(deltas, F.max("delta").alias("largest")).checkpoint()
         largest = deltas.get["largest"]
     return _scaled(ranks)
 
 
-def _round(
-    ranks: DataFrame, edges: DataFrame, small: bool, reset: float, tol: float
-) -> DataFrame:
-    """One exchange of deltas; senders and messages are at most one row per vertex."""
-    senders = ranks.filter(F.col("delta") > tol).select(
-        F.col("id").alias("src"), (F.col("delta") / F.col("out_w")).alias("share")
+def _links(graph: Graph) -> DataFrame:
+    """Rows ``src, dst, part``: folded edges, and one link from each vertex to itself.
+
+    ``part`` is the share of a delta that an edge carries. It is null on the own
+    link, by which a vertex hands its rank to the next round, so that a round is
+    one join and one sum.
+    """
+    vertices = graph.vertices
+
+    def ids(name: str) -> DataFrame:
+        return vertices.side(vertices.rows.select(F.col("id").alias(name)))
+
+    pairs = edge_weights(graph.edges).join(ids("src"), "src").join(ids("dst"), "dst").checkpoint()
+    out = pairs.groupBy("src").agg(F.sum("w").alias("out_w"))
+    parts = pairs.join(Dimension(out, vertices.small).side(out), "src").select(
+        "src", "dst", (F.col("w") / F.col("out_w")).alias("part")
     )
-    messages = (
-        edges.join(Dimension(senders, small).side(senders), "src")
-        .groupBy("dst")
-        .agg(F.sum(F.col("share") * F.col("w")).alias("received"))
-        .select(F.col("dst").alias("id"), ((1 - reset) * F.col("received")).alias("gain"))
+    own = vertices.rows.select(
+        F.col("id").alias("src"), F.col("id").alias("dst"), F.lit(None).cast("double").alias("part")
     )
-    return ranks.join(Dimension(messages, small).side(messages), "id", "left").select(
-        "id",
-        "out_w",
-        (F.col("rank") + F.coalesce("gain", F.lit(0.0))).alias("rank"),
-        F.col("gain").alias("delta"),
+    links = parts.unionByName(own).checkpoint()
+    # links measured small fit one partition, and their sums need no shuffle
+    return links.coalesce(1) if Dimension.measure(links).small else links
+
+
+def _round(
+    ranks: DataFrame, links: DataFrame, small: bool, reset: float, tol: float
+) -> DataFrame:
+    senders = ranks.select(F.col("id").alias("src"), "rank", "delta")
+    share = F.when(F.col("delta") > tol, F.col("delta") * F.col("part"))
+    kept = F.when(F.col("part").isNull(), F.col("rank"))
+    received = (
+        links.join(Dimension(senders, small).side(senders), "src")
+        .groupBy(F.col("dst").alias("id"))
+        .agg(F.max(kept).alias("rank"), ((1 - reset) * F.sum(share)).alias("delta"))
     )
+    return received.withColumn("rank", F.col("rank") + F.coalesce("delta", F.lit(0.0)))
 
 
 def _scaled(ranks: DataFrame) -> DataFrame:
