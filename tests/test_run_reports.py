@@ -2,7 +2,13 @@ from __future__ import annotations
 
 import run_reports
 from tests.test_lines import TRIP_HEADER
-from tripmart.schemas import DAILY_WAIT_REPORT, MONTHLY_COUNT_REPORT, MONTHLY_EARNINGS_REPORT
+from tripmart.plans import Mart, monthly
+from tripmart.schemas import (
+    DAILY_WAIT_REPORT,
+    MONTHLY_COUNT_REPORT,
+    MONTHLY_EARNINGS_REPORT,
+    ZONE_SCHEMA,
+)
 from tripmart.sources import read_report
 
 ZONES = [
@@ -81,3 +87,14 @@ def test_staging_changes_no_result(spark, tmp_path):
     staged = run_reports.run(spark, arguments(tmp_path, "--stage", str(tmp_path / "s"), *only))
     assert [sorted(spark.read.csv(p, header=True).collect()) for p in staged] == first
     assert len(first) == 3
+
+
+def test_year_as_a_further_key(spark):
+    trips = spark.createDataFrame(
+        [("P", 1, 1, JAN_1), ("P", 1, 1, JAN_1 - 31536000)],
+        "business string, pickup_location int, dropoff_location int, date bigint",
+    )
+    zones = spark.createDataFrame([(1, "b", "z", "s")], ZONE_SCHEMA)
+    mart = Mart.of(trips, zones, year=True)
+    report = monthly.monthly_report(mart, monthly.TRIPS, keys=("business", "year", "month"))
+    assert sorted(tuple(r) for r in report.collect()) == [("P", 2022, 1, 1), ("P", 2023, 1, 1)]
