@@ -13,16 +13,16 @@ def db():
 
 
 def test_every_query_has_its_sql():
-    assert entry.queries().keys() == entry.oracle_sql().keys()
+    assert entry.trip_queries().keys() == entry.trip_sql().keys()
 
 
 # at this scale no supplier to customer route need be shared, no group need be large
 EMPTY_IS_FINE = {"shared_routes_top10"}
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(entry.trip_queries()))
 def test_query_equals_its_sql(spark, db, name):
-    query, sql = entry.queries()[name], entry.oracle_sql()[name]
+    query, sql = entry.trip_queries()[name], entry.trip_sql()[name]
     problem = difference(spark, db, query, sql, DATA)
     assert problem is None or (problem == "no rows" and name in EMPTY_IS_FINE)
 
@@ -35,9 +35,9 @@ def test_column_types_equal_those_of_the_sql(spark, db):
         "double": "DOUBLE",
         "date": "DATE",
     }
-    for name, query in entry.queries().items():
+    for name, query in entry.trip_queries().items():
         mine = {c: kinds[t] for c, t in query(spark, DATA).dtypes}
-        theirs = {d[0]: str(d[1]) for d in db.execute(entry.oracle_sql()[name]).description}
+        theirs = {d[0]: str(d[1]) for d in db.execute(entry.trip_sql()[name]).description}
         assert mine == theirs, name
 
 
@@ -54,7 +54,7 @@ def test_entry(spark):
 
 
 def test_invariants(spark):
-    q = {name: query(spark, DATA) for name, query in entry.queries().items()}
+    q = {name: query(spark, DATA) for name, query in entry.trip_queries().items()}
     keys = q["monthly_trip_count"].select("business", "month")
     assert keys.distinct().count() == keys.count()
     total = q["trip_row_count"].first().row_count
