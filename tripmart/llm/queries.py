@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from tripmart.llm import mixing, perspectives
+from tripmart.llm import host_rules, licenses, mixing, perspectives
 
 QUERIES = {
     "op1_mix_sources": mixing.op1_mix_sources,
+    "op3_licences": licenses.op3_licences,
     "op4_perspectives": perspectives.op4_perspectives,
+    "op9_host_rules": host_rules.op9_host_rules,
 }
 
 SQL = {
     "op1_mix_sources": mixing.OP1_SQL,
+    "op3_licences": licenses.OP3_SQL,
     "op4_perspectives": perspectives.OP4_SQL,
+    "op9_host_rules": host_rules.OP9_SQL,
 }
