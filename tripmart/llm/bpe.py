@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 import unicodedata
 from functools import cached_property, lru_cache
 
@@ -36,6 +37,59 @@ def byte_chars() -> list[str]:
     return [chr(b) if b in shown else chr(256 + hidden.index(b)) for b in range(256)]
 
 
+# Code points that are letters or numbers only since Unicode 17. To the
+# vocabulary's own splitter, which knows Unicode 16, they are neither.
+LATER = (
+    "\u0558\u058b-\u058c\u088f\u0c5c\u0cdc\u208f\u209d-\u209f\ua7ce-\ua7cf\ua7d2\ua7d4\ua7dd\ua7e2\ua7f1"
+    "\uab6c-\uab6d\U000107bb-\U000107bf\U00010940-\U00010959\U00010ec5-\U00010ec7"
+    "\U00010ed9-\U00010eee\U00011b0a\U00011db0-\U00011ddb\U00011de0-\U00011de9\U00011df1"
+    "\U0001246f\U00012475-\U0001247f\U00012550-\U00012686\U00016ea0-\U00016eb8"
+    "\U00016ebb-\U00016ed3\U00016ff2-\U00016ff6\U000187f8-\U000187ff\U00018cd6-\U00018cda"
+    "\U00018d09-\U00018d20\U00018d80-\U00018df2\U00018e00-\U00019191\U000191a0-\U000191d2"
+    "\U0001b123-\U0001b128\U0001b168\U0001d6a6\U0001df1f-\U0001df24\U0001df2b-\U0001df81"
+    "\U0001df90-\U0001df96\U0001dfcd-\U0001dfff\U0001e6c0-\U0001e6de\U0001e6e0-\U0001e6e2"
+    "\U0001e6e4-\U0001e6e5\U0001e6e7-\U0001e6ed\U0001e6f0-\U0001e6f4\U0001e6fe-\U0001e6ff"
+    "\U0002b73a-\U0002b73f\U0002b81e\U0002cea2-\U0002cead\U000323b0-\U00033479"
+    "\U0003d000-\U0003fc3f"
+)
+
+
+# Capitals that have small letters since Unicode 16 or 17.
+NEW_LOWER = {
+    0x1C89: 0x1C8A, 0xA7CB: 0x264, 0xA7CC: 0xA7CD, 0xA7CE: 0xA7CF, 0xA7D2: 0xA7D3,
+    0xA7D4: 0xA7D5, 0xA7DA: 0xA7DB, 0xA7DC: 0x19B,
+    **{c: c + 0x20 for c in range(0x10D50, 0x10D66)},
+    **{c: c + 0x1B for c in range(0x16EA0, 0x16EB9)},
+}
+
+
+def splitters(pattern: str) -> tuple[regex.Pattern, re.Pattern]:
+    """The file's pattern for any text, and a faster one for Latin-1 text."""
+    for kind in ("L", "N"):
+        pattern = pattern.replace(rf"[\p{{{kind}}}]", rf"[\p{{{kind}}}--[{LATER}]]")
+    full = pattern.replace(r"[^\s\p{L}\p{N}]", rf"[[^\s\p{{L}}\p{{N}}]||[{LATER}]]")
+
+    def latin(kind: str) -> str:
+        low = [chr(c) for c in range(256)]
+        return "".join(re.escape(c) for c in low if unicodedata.category(c).startswith(kind))
+
+    small = pattern
+    for kind in ("L", "N"):
+        small = small.replace(rf"[\p{{{kind}}}--[{LATER}]]", f"[{latin(kind)}]")
+        small = small.replace(rf"\p{{{kind}}}", latin(kind))
+    # unlike the file's splitter, re takes the four separators for blanks
+    small = small.replace(r"[^\s", "[^\t\n\x0b\x0c\r \x85\xa0")
+    return regex.compile(full, regex.V1), re.compile(small)
+
+
+def is_latin(text: str) -> bool:
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
 class WordBpe:
     """Encoder and decoder of a word-end BPE vocabulary file.
 
@@ -57,13 +111,13 @@ class WordBpe:
         for pair, made in self.merged.items():
             self.parts.setdefault(made, (*pair, self.rank[pair]))
         self.specials = {t["content"]: t["id"] for t in file["added_tokens"]}
-        pre = file["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
-        self.pieces = regex.compile(pre)
+        pattern = file["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
+        self.pieces, self.latin_pieces = splitters(pattern)
         self.chars = byte_chars()
         self.bytes = {c: b for b, c in enumerate(self.chars)}
-        self.pairs: dict[tuple[int, int], bool] = {}
-        self.words: dict[str, tuple[str, int, bytes]] = {}
-        self.last: dict[str, tuple[int, int]] = {}
+        self.pairs: dict[int, bool] = {}
+        self.words: dict[str, tuple[str, int, str]] = {}
+        self.older: dict[str, tuple[str, int, str]] = {}
 
     @cached_property
     def split_specials(self) -> regex.Pattern:
@@ -119,47 +173,54 @@ class WordBpe:
                 limit, right = r_rank + 1, r_first
 
     def follows(self, left: int, right: int) -> bool:
-        known = self.pairs.get((left, right))
-        if known is None:
-            if len(self.pairs) >= CACHED_PAIRS:
-                self.pairs.clear()
-            known = self.pairs[left, right] = self.compatible(left, right)
+        if len(self.pairs) >= CACHED_PAIRS:
+            self.pairs.clear()
+        known = self.pairs[left << 32 | right] = self.compatible(left, right)
         return known
 
     def encode_symbols(self, symbols: str) -> list[int]:
         """Ids of one word given as its symbols, the word end not marked."""
         n = len(symbols)
-        matches: list[list[tuple[int, int]]] = [[] for _ in range(n + 1)]
-        for at, match in self.automaton.iter(symbols + "\0"):
-            if at < n - 1:
-                matches[at + 1].append(match)
-            elif at == n:  # the mark is no symbol of its own
-                matches[n].append(match)
-        last: list[tuple[int, int]] = [(0, -1)] * (n + 1)
-        for i in range(1, n + 1):
-            for size, token in matches[i]:
-                if i == size or self.follows(last[i - size][1], token):
-                    last[i] = (size, token)
-                    break
-            else:
-                raise ValueError("the vocabulary lacks a symbol")
+        last, sizes = [-1] * (n + 1), [0] * (n + 1)
+        pairs = self.pairs
+        # matches come by the place where they end, the longest first
+        for at, (size, token) in self.automaton.iter(symbols + "\0"):
+            i = at + 1
+            if i > n:
+                i = n
+            elif i == n:  # only a token with the word-end mark can be last
+                continue
+            if last[i] >= 0:
+                continue
+            before = last[i - size]
+            if i == size:
+                fits = True
+            elif (fits := pairs.get(before << 32 | token)) is None:
+                fits = self.follows(before, token)
+            if fits:
+                last[i], sizes[i] = token, size
         ids = []
         i = n
         while i:
-            size, token = last[i]
-            ids.append(token)
-            i -= size
-        return ids[::-1]
+            if last[i] < 0:
+                raise ValueError("the vocabulary lacks a symbol")
+            ids.append(last[i])
+            i -= sizes[i]
+        ids.reverse()
+        return ids
 
     def encode_word(self, piece: str) -> list[int]:
         return self.encode_symbols("".join(self.chars[b] for b in piece.encode("utf-8")))
 
     def known(self, piece: str) -> tuple[str, int, str]:
         """Ids joined by a blank, their number, and the text they decode to."""
-        ids = self.encode_word(piece)
+        found = self.older.get(piece)
+        if found is None:
+            ids = self.encode_word(piece)
+            found = (" ".join(map(str, ids)), len(ids), self.decode(ids))
         if len(self.words) >= CACHED_WORDS:  # the older half of the words in use stays at hand
             self.older, self.words = self.words, {}
-        found = self.words[piece] = (" ".join(map(str, ids)), len(ids), self.decode(ids))
+        self.words[piece] = found
         return found
 
     def normal(self, text: str) -> str:
@@ -167,7 +228,8 @@ class WordBpe:
         lower-cased one by one, so a final sigma is like any other."""
         if text.isascii():
             return text.lower()
-        return unicodedata.normalize("NFC", text).replace("\u03a3", "\u03c3").lower()
+        normal = unicodedata.normalize("NFC", text).replace("\u03a3", "\u03c3").lower()
+        return normal if is_latin(normal) else normal.translate(NEW_LOWER)
 
     def encode(self, text: str) -> list[int]:
         ids: list[int] = []
@@ -182,7 +244,8 @@ class WordBpe:
             if part in self.specials:
                 yield str(self.specials[part]), 1, part
             elif part:
-                for piece in self.pieces.findall(self.normal(part)):
+                normal = self.normal(part)
+                for piece in (self.latin_pieces if is_latin(normal) else self.pieces).findall(normal):
                     yield words.get(piece) or known(piece)
 
     @cached_property

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from tripmart.llm import host_rules, licenses, mixing, perspectives
+from tripmart.llm import bpe, host_rules, licenses, mixing, perspectives, url_filter
 
 QUERIES = {
     "op1_mix_sources": mixing.op1_mix_sources,
     "op3_licences": licenses.op3_licences,
     "op4_perspectives": perspectives.op4_perspectives,
+    "op6_bpe": bpe.op6_bpe,
+    "op8_url_filter": url_filter.op8_url_filter,
     "op9_host_rules": host_rules.op9_host_rules,
 }
 
