@@ -2,7 +2,15 @@
 
 from __future__ import annotations
 
-from tripmart.llm import bpe, host_rules, licenses, mixing, perspectives, url_filter
+from tripmart.llm import (
+    bpe,
+    host_rules,
+    licenses,
+    mixing,
+    near_duplicates,
+    perspectives,
+    url_filter,
+)
 
 QUERIES = {
     "op1_mix_sources": mixing.op1_mix_sources,
@@ -11,6 +19,7 @@ QUERIES = {
     "op6_bpe": bpe.op6_bpe,
     "op8_url_filter": url_filter.op8_url_filter,
     "op9_host_rules": host_rules.op9_host_rules,
+    "op10_near_duplicates": near_duplicates.op10_near_duplicates,
 }
 
 SQL = {
