@@ -9,11 +9,13 @@ from tripmart.llm import (
     mixing,
     near_duplicates,
     perspectives,
+    substrings,
     url_filter,
 )
 
 QUERIES = {
     "op1_mix_sources": mixing.op1_mix_sources,
+    "op2_substrings": substrings.op2_substrings,
     "op3_licences": licenses.op3_licences,
     "op4_perspectives": perspectives.op4_perspectives,
     "op6_bpe": bpe.op6_bpe,
@@ -24,6 +26,7 @@ QUERIES = {
 
 SQL = {
     "op1_mix_sources": mixing.OP1_SQL,
+    "op2_substrings": substrings.OP2_SQL,
     "op3_licences": licenses.OP3_SQL,
     "op4_perspectives": perspectives.OP4_SQL,
     "op9_host_rules": host_rules.OP9_SQL,
