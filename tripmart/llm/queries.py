@@ -10,6 +10,8 @@ from tripmart.llm import (
     near_duplicates,
     perspectives,
     substrings,
+    top_k,
+    toxicity,
     url_filter,
 )
 
@@ -18,7 +20,9 @@ QUERIES = {
     "op2_substrings": substrings.op2_substrings,
     "op3_licences": licenses.op3_licences,
     "op4_perspectives": perspectives.op4_perspectives,
+    "op5_toxicity": toxicity.op5_toxicity,
     "op6_bpe": bpe.op6_bpe,
+    "op7_top_k": top_k.op7_top_k,
     "op8_url_filter": url_filter.op8_url_filter,
     "op9_host_rules": host_rules.op9_host_rules,
     "op10_near_duplicates": near_duplicates.op10_near_duplicates,
@@ -29,5 +33,6 @@ SQL = {
     "op2_substrings": substrings.OP2_SQL,
     "op3_licences": licenses.OP3_SQL,
     "op4_perspectives": perspectives.OP4_SQL,
+    "op7_top_k": top_k.OP7_SQL,
     "op9_host_rules": host_rules.OP9_SQL,
 }
