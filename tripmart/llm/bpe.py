@@ -62,6 +62,17 @@ NEW_LOWER = {
     **{c: c + 0x1B for c in range(0x16EA0, 0x16EB9)},
 }
 
+# Combining marks of later Unicode versions, which the vocabulary's
+# normalizer neither reorders nor composes.
+LATER_MARKS = re.compile(
+    "([\u07fd\u0898-\u089f\u08ca-\u08d3\u09fe\u0c3c\u0d3b-\u0d3c\u0eba\u1715\u1abf-\u1ace\u1df6-\u1dfa\ua82c"
+    "\U00010d24-\U00010d27\U00010eab-\U00010eac\U00010efd-\U00010eff\U00010f46-\U00010f50"
+    "\U00010f82-\U00010f85\U00011070\U0001133b\U0001145e\U00011839-\U0001183a\U0001193d-\U0001193e"
+    "\U00011943\U000119e0\U00011a34\U00011a47\U00011a99\U00011d42\U00011d44-\U00011d45\U00011d97"
+    "\U00011f41-\U00011f42\U00016ff0-\U00016ff1\U0001e08f\U0001e130-\U0001e136\U0001e2ae"
+    "\U0001e2ec-\U0001e2ef\U0001e4ec-\U0001e4ef]+)"
+)
+
 
 def splitters(pattern: str) -> tuple[regex.Pattern, re.Pattern]:
     """The file's pattern for any text, and a faster one for Latin-1 text."""
@@ -228,8 +239,11 @@ class WordBpe:
         lower-cased one by one, so a final sigma is like any other."""
         if text.isascii():
             return text.lower()
-        normal = unicodedata.normalize("NFC", text).replace("\u03a3", "\u03c3").lower()
-        return normal if is_latin(normal) else normal.translate(NEW_LOWER)
+        if is_latin(text):
+            return unicodedata.normalize("NFC", text).lower()
+        parts = LATER_MARKS.split(text)
+        parts[::2] = [unicodedata.normalize("NFC", p) for p in parts[::2]]
+        return "".join(parts).replace("\u03a3", "\u03c3").lower().translate(NEW_LOWER)
 
     def encode(self, text: str) -> list[int]:
         ids: list[int] = []

@@ -35,12 +35,12 @@ def perspectives(
     ``start, end`` for each message that counts: the characters of its content
     and end marker, from 0, end excluded.
 
-    Turns are ordered by turn, role and text, nulls first; repeated rows are
+    Turns are ordered by turn, null first, then name and text; repeated rows are
     repeated turns. A null role is the participant ``unknown``, a null text is
-    empty, a null turn number belongs to part 0. Turns without a conversation id
-    belong to no dialogue and give no row, nor do conversations without a
-    participant, nor a participant in a part where only others speak is left
-    out: it gets the part with an empty mask. An empty table gives no rows.
+    empty, a null turn number belongs to part 0. A participant who is silent in
+    a part gets it with an empty mask. Turns without a conversation id belong to
+    no dialogue; they give no row, nor does a conversation without participants.
+    An empty table gives no rows.
     """
     marker = F.lit("<|")
     picked = turns.where(F.col(conv_id).isNotNull()).select(

@@ -24,7 +24,9 @@ from tripmart.llm.workers import columns, importable
 LISTS = 4
 BLOCK = 4096
 QUERY_BLOCK = 256
-NO_ID = np.iinfo(np.int64).max
+NO_ID = int(np.iinfo(np.int64).max)
+#: As a cutoff: every vector reaches it.
+LEAST = int(np.iinfo(np.int64).min)
 
 
 def whole_numbers(vectors: DataFrame, vec_id: str, embedding: str, scale: int) -> DataFrame:
@@ -68,20 +70,24 @@ def _packed(rows: DataFrame, size: int, dims: int, numbers: list[str]) -> DataFr
 
 
 def inner(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Exact products of integer rows; what a long cannot hold is its nearest value."""
+    """Exact products of integer rows, as Python integers where a long might not hold them."""
     most = a.shape[1] * int(np.abs(a.astype(object)).max(initial=0)) * int(np.abs(b.astype(object)).max(initial=0))
     if most < 1 << 53:
         return (a.astype(np.float64) @ b.astype(np.float64).T).astype(np.int64)
     if most < 1 << 63:
         return a @ b.T
-    exact = a.astype(object) @ b.astype(object).T
-    return np.clip(exact, -(1 << 63), (1 << 63) - 1).astype(np.int64)
+    return a.astype(object) @ b.astype(object).T
+
+
+def as_long(scores: np.ndarray) -> np.ndarray:
+    """What a long cannot hold becomes its nearest value."""
+    return np.clip(scores, LEAST, NO_ID).astype(np.int64)
 
 
 def _parts(q: np.ndarray, c: np.ndarray) -> np.ndarray:
     """Scores of every list: list, query, vector."""
     cuts = np.array_split(np.arange(q.shape[1]), LISTS)
-    return np.stack([inner(q[:, g], c[:, g]) for g in cuts])
+    return np.stack([inner(q[:, g], c[:, g]) for g in cuts])  # whole numbers of either kind
 
 
 def _blocks(batch: pa.RecordBatch, dims: int) -> Iterator[dict[str, np.ndarray]]:
@@ -140,14 +146,14 @@ def top_k(
         for batch in batches:
             for b in _blocks(batch, dims):
                 scores = _parts(b["qv"], b["v"])
-                whole = scores.sum(axis=0) if scores.shape[1] else scores[0]
+                whole = as_long(inner(b["qv"], b["v"]))
                 out: dict[str, list] = {"q_id": [], "twin": [], "vec_id": [], "score": [], "at": []}
                 for i in range(len(b["q_id"])):
                     there = np.flatnonzero(b["copies"][i] > 0)
                     head = min(k, len(there))
                     best = {
                         int(x) for g in range(LISTS) if head
-                        for x in there[np.argpartition(-scores[g, i, there], head - 1)[:head]]
+                        for x in there[np.argsort(-scores[g, i, there], kind="stable")[:head]]
                     }
                     best = sorted(best, key=lambda j: -whole[i, j])[:k]
                     out["q_id"] += [b["q_id"][i]] * len(best)
@@ -165,10 +171,12 @@ def top_k(
                 for i, cutoff in enumerate(b["cutoff"].tolist()):
                     share = -(-cutoff // LISTS)  # some part of a sum that reaches the cutoff does
                     mine = scores[:, i]
-                    some = np.flatnonzero((mine >= share).any(axis=0) & (b["copies"][i] > 0))
-                    bound = np.maximum(mine[:, some], share).sum(axis=0)
-                    some = some[bound >= cutoff]
-                    whole = inner(b["qv"][i : i + 1], b["v"][some])[0]
+                    if cutoff == LEAST:
+                        some = np.flatnonzero(b["copies"][i] > 0)
+                    else:
+                        some = np.flatnonzero((mine >= share).any(axis=0) & (b["copies"][i] > 0))
+                        some = some[np.maximum(mine[:, some], share).sum(axis=0) >= cutoff]
+                    whole = as_long(inner(b["qv"][i : i + 1], b["v"][some])[0])
                     some, whole = some[whole >= cutoff], whole[whole >= cutoff]
                     best = np.lexsort((b["vec_id"][some], -whole))[:k]
                     out["q_id"] += [b["q_id"][i]] * len(best)
@@ -183,7 +191,7 @@ def top_k(
     in_order = Window.partitionBy(*key).orderBy(F.desc("score"))
     cutoffs = gathered.withColumn("place", F.row_number().over(in_order)).where(F.col("place") <= k).groupBy(
         *key
-    ).agg(F.when(F.count("*") == k, F.min("score")).otherwise(-(1 << 62)).alias("cutoff"))
+    ).agg(F.when(F.count("*") == k, F.min("score")).otherwise(F.lit(LEAST)).alias("cutoff"))
     asked = queries.join(cutoffs.withColumnRenamed("q_id", "vec_id"), ["vec_id", "twin"])
     found = pairs(asked, "cutoff").mapInArrow(
         resolved, "q_id long, twin long, vec_id long, score long, copies long"
