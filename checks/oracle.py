@@ -84,10 +84,13 @@ def trip_schema() -> str:
     rows = ", ".join(
         f"({i}, '{name}', '{kind}')" for i, (name, kind) in enumerate(ENRICHED_TYPES)
     )
+    counts = ", ".join(f"n.n{i}" for i in range(len(ENRICHED_TYPES)))
+    sums = ", ".join(f"count({name}) AS n{i}" for i, (name, _) in enumerate(ENRICHED_TYPES))
     return enriched(
-        "SELECT CAST(v.position AS INTEGER) AS position, v.column_name, v.column_type, n.row_count"
+        "SELECT CAST(v.position AS INTEGER) AS position, v.column_name, v.column_type,"
+        f" [{counts}][v.position + 1] AS non_null, n.row_count"
         f" FROM (VALUES {rows}) v(position, column_name, column_type),"
-        " (SELECT count(*) AS row_count FROM enriched) n"
+        f" (SELECT count(*) AS row_count, {sums} FROM enriched) n"
     )
 
 
@@ -151,7 +154,30 @@ SELECT CAST(c_custkey AS INTEGER) AS LocationID,
 FROM customer WHERE c_mktsegment <> 'MACHINERY'"""
 
 
-def pagerank(rounds: int = 40, reset: float = 0.17, tol: float = 0.01) -> str:
+PARSED_ZONE_LINES_CSV = """
+SELECT CAST(c_custkey AS INTEGER) AS LocationID,
+       CASE WHEN c_mktsegment = 'AUTOMOBILE' THEN '' ELSE c_mktsegment END AS Borough,
+       c_name || CASE WHEN c_mktsegment = 'MACHINERY' THEN ', annex' ELSE '' END AS Zone,
+       CASE WHEN c_mktsegment = 'AUTOMOBILE' THEN '' ELSE CAST(c_nationkey AS VARCHAR) END
+         AS service_zone
+FROM customer"""
+
+PARTIES = """
+trips AS (
+  SELECT 'pickup:' || l.l_suppkey AS pickup_location, 'dropoff:' || o.o_custkey AS dropoff_location
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+),
+zones AS (
+  SELECT 'pickup:' || s_suppkey AS id, CAST(s_nationkey AS VARCHAR) AS Borough, s_name AS Zone,
+         '' AS service_zone FROM supplier
+  UNION ALL
+  SELECT 'dropoff:' || c_custkey, CAST(c_nationkey AS VARCHAR), c_name, c_mktsegment FROM customer
+)"""
+
+
+def pagerank(
+    rounds: int = 40, reset: float = 0.17, tol: float = 0.01, tables: str = TRIPS
+) -> str:
     """Rounds written out one by one; those after the end change nothing."""
     keep = f"(1 - CAST({reset} AS DOUBLE))"
     parts = [
@@ -174,10 +200,9 @@ def pagerank(rounds: int = 40, reset: float = 0.17, tol: float = 0.01) -> str:
     FROM r{i - 1} u JOIN shares e ON u.id = e.src
     WHERE u.delta > {tol} GROUP BY e.dst
   ) m ON v.id = m.dst)""")
-    return graph(
-        f"""SELECT id, round(rank * (SELECT count(*) / sum(rank) FROM r{rounds}), 6) AS pagerank
-FROM r{rounds} ORDER BY 2 DESC, id LIMIT 5""",
-        *parts,
+    return "WITH " + ", ".join([tables, *parts]) + (
+        f"""\nSELECT id, round(rank * (SELECT count(*) / sum(rank) FROM r{rounds}), 6) AS pagerank
+FROM r{rounds} ORDER BY 2 DESC, id LIMIT 5"""
     )
 
 
@@ -192,22 +217,22 @@ def statements() -> dict[str, str]:
             "SELECT business, month, count(*) AS trip_count FROM enriched GROUP BY 1, 2"
         ),
         "monthly_platform_profit": enriched(
-            "SELECT business, month, round(sum(rideshare_profit), 4) AS platform_profit"
+            "SELECT business, month, CAST(sum(CAST(rideshare_profit AS DECIMAL(28, 4))) AS DOUBLE) AS platform_profit"
             " FROM enriched GROUP BY 1, 2"
         ),
         "monthly_driver_earnings": enriched(
-            "SELECT business, month, round(sum(driver_total_pay), 4) AS driver_earnings"
+            "SELECT business, month, CAST(sum(CAST(driver_total_pay AS DECIMAL(28, 4))) AS DOUBLE) AS driver_earnings"
             " FROM enriched GROUP BY 1, 2"
         ),
         "monthly_report": enriched(
             "SELECT business, month, count(*) AS trip_count,"
-            " round(sum(rideshare_profit), 4) AS platform_profit,"
-            " round(sum(driver_total_pay), 4) AS driver_earnings FROM enriched GROUP BY 1, 2"
+            " CAST(sum(CAST(rideshare_profit AS DECIMAL(28, 4))) AS DOUBLE) AS platform_profit,"
+            " CAST(sum(CAST(driver_total_pay AS DECIMAL(28, 4))) AS DOUBLE) AS driver_earnings FROM enriched GROUP BY 1, 2"
         ),
         "provider_series": enriched(
             "SELECT business, month, count(*) AS trip_count,"
-            " round(sum(rideshare_profit), 4) AS platform_profit,"
-            " round(sum(driver_total_pay), 4) AS driver_earnings FROM enriched"
+            " CAST(sum(CAST(rideshare_profit AS DECIMAL(28, 4))) AS DOUBLE) AS platform_profit,"
+            " CAST(sum(CAST(driver_total_pay AS DECIMAL(28, 4))) AS DOUBLE) AS driver_earnings FROM enriched"
             " WHERE business = 'A' GROUP BY 1, 2 ORDER BY month"
         ),
         "pickup_boroughs": enriched("SELECT DISTINCT Pickup_Borough FROM enriched"),
@@ -215,7 +240,7 @@ def statements() -> dict[str, str]:
         "top_dropoff_per_month": top_area("Dropoff_Zone"),
         "top_routes_by_pay": enriched(
             "SELECT Pickup_Zone || ' to ' || Dropoff_Zone AS Route,"
-            " round(sum(driver_total_pay), 4) AS total_profit FROM enriched"
+            " CAST(sum(CAST(driver_total_pay AS DECIMAL(28, 4))) AS DOUBLE) AS total_profit FROM enriched"
             " GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 30"
         ),
         "avg_pay_by_time_of_day": enriched(
@@ -259,10 +284,7 @@ def statements() -> dict[str, str]:
             " WHERE Pickup_Borough = 'AFRICA' AND Dropoff_Borough = 'ASIA'"
         ),
         "shared_routes_top10": SHARED_ROUTES,
-        "graph_vertices": (
-            "SELECT s_suppkey AS id, CAST(s_nationkey AS VARCHAR) AS Borough, s_name AS Zone,"
-            " '' AS service_zone FROM supplier"
-        ),
+        "graph_vertices": graph("SELECT id, Borough, Zone, service_zone FROM zones"),
         "graph_edges": graph(
             "SELECT pickup_location AS src, dropoff_location AS dst FROM trips"
         ),
@@ -278,4 +300,23 @@ FROM trips t JOIN zones a ON t.pickup_location = a.id JOIN zones b ON t.dropoff_
         ),
         "same_area_edge_count": graph(f"SELECT count(*) AS edge_count {SAME_AREA}"),
         "pagerank_top5": pagerank(),
+        "od_trip_preview": enriched(
+            "SELECT Pickup_Borough, Dropoff_Borough, Pickup_Zone FROM enriched"
+            " WHERE Pickup_Borough = 'AFRICA' AND Dropoff_Borough = 'ASIA'"
+            " ORDER BY 1, 2, 3 LIMIT 10"
+        ),
+        "parsed_zone_lines_csv": PARSED_ZONE_LINES_CSV,
+        "party_vertices": f"WITH {PARTIES}\nSELECT id, Borough, Zone, service_zone FROM zones",
+        "party_triplets": f"""WITH {PARTIES}
+SELECT DISTINCT a.id AS src_id, a.Borough AS src_Borough, a.Zone AS src_Zone,
+       a.service_zone AS src_service_zone,
+       t.pickup_location AS edge_src, t.dropoff_location AS edge_dst,
+       b.id AS dst_id, b.Borough AS dst_Borough, b.Zone AS dst_Zone,
+       b.service_zone AS dst_service_zone
+FROM trips t JOIN zones a ON t.pickup_location = a.id JOIN zones b ON t.dropoff_location = b.id""",
+        "party_same_area_count": f"""WITH {PARTIES}
+SELECT CAST(count(*) AS BIGINT) AS edge_count
+FROM trips t JOIN zones a ON t.pickup_location = a.id JOIN zones b ON t.dropoff_location = b.id
+WHERE a.Borough = b.Borough""",
+        "party_pagerank_top5": pagerank(tables=PARTIES),
     }

@@ -2,6 +2,10 @@
 
     spark-submit run_reports.py --trips TRIPS --zones ZONES --out DIR --run-id ID
         --providers FIRST SECOND --time-of-day evening --origin A --destination B
+
+Reports with a row for every trip are left out unless --row-tables names a folder,
+to which they go whole, as parquet. On a cluster set spark.checkpoint.dir, which is
+tried before the first report.
 """
 
 from __future__ import annotations
@@ -12,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import SparkSession
 
 from tripmart.operators import with_calendar
-from tripmart.plans import Mart, Settings, catalog
+from tripmart.plans import ROW_TABLES, Mart, Settings, catalog
 from tripmart.session import configured
 from tripmart.sources import (
     read_staged_trips,
@@ -22,6 +26,7 @@ from tripmart.sources import (
     stage_trips,
     write_report,
 )
+from tripmart.storage import ensure_checkpoint_dir
 
 
 def options(argv: Sequence[str] | None = None) -> argparse.Namespace:
@@ -30,6 +35,8 @@ def options(argv: Sequence[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--zones", required=True)
     parser.add_argument("--out", required=True)
     parser.add_argument("--run-id", required=True)
+    parser.add_argument("--row-tables", help="parquet folder for the row-level tables")
+    parser.add_argument("--year", action="store_true", help="keep the years apart")
     parser.add_argument("--stage", help="parquet folder for the typed trips")
     parser.add_argument("--mode", default="strict_split", help="strict_split or csv")
     parser.add_argument("--trip-header")
@@ -46,11 +53,13 @@ def options(argv: Sequence[str] | None = None) -> argparse.Namespace:
 
 def run(spark: SparkSession, args: argparse.Namespace) -> list[str]:
     """Paths of the reports written."""
+    ensure_checkpoint_dir(spark)
+    spark.range(1).checkpoint()  # fails here, not after hours, if the folder is no good
     trips = read_trips(spark, args.trips, mode=args.mode, header=args.trip_header)
     zones = read_zones(spark, args.zones, mode=args.mode, header=args.zone_header)
     if args.stage:
         # the text is parsed once, all reports then read narrow columns of parquet
-        stage_trips(with_calendar(trips), args.stage)
+        stage_trips(with_calendar(trips, args.year), args.stage)
         trips = read_staged_trips(spark, args.stage)
     settings = Settings(
         provider=args.providers[0],
@@ -61,13 +70,21 @@ def run(spark: SparkSession, args: argparse.Namespace) -> list[str]:
         long_wait=args.long_wait,
         sparse_below=args.sparse_below,
     )
-    mart = Mart.of(trips, zones)
+    mart = Mart.of(trips, zones, year=args.year, share=True)
     paths = []
     for name, report in catalog(settings).items():
-        if not args.only or name in args.only:
+        if args.only and name not in args.only:
+            continue
+        if name not in ROW_TABLES:
             path = run_path(args.out, args.run_id, name)
             write_report(report(mart), path)
-            paths.append(path)
+        elif args.row_tables:
+            path = run_path(args.row_tables, args.run_id, name)
+            report(mart).write.mode("overwrite").parquet(path)
+        else:
+            continue
+        paths.append(path)
+    mart.release()
     return paths
 
 

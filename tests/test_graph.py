@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import re
 import subprocess
 import sys
 from collections import Counter
@@ -10,7 +11,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tests.conftest import rows
+from tests.conftest import plan, rows
 from tripmart.operators import (
     Dimension,
     Graph,
@@ -21,7 +22,8 @@ from tripmart.operators import (
     triplets,
     zone_vertices,
 )
-from tripmart.operators import dimension as dimension_module
+from tripmart.operators import vertex_rank
+from tripmart.plans import Mart
 
 VERTICES = [
     (1, "North", "One", "Boro"),
@@ -111,20 +113,35 @@ def test_blank_service_zones_are_equal(spark):
 
 
 @pytest.mark.parametrize("small", [True, False])
-def test_pagerank_of_the_hand_graph(spark, small, monkeypatch):
-    if not small:
-        never = classmethod(lambda cls, frame, **_: cls(frame, False))
-        monkeypatch.setattr(dimension_module.Dimension, "measure", never)
-    ranks = pagerank(graph(spark, EDGES, small), 0.17, 0.01)
+@pytest.mark.parametrize("links_per_part", [100_000, 1])
+def test_pagerank_of_the_hand_graph(spark, small, links_per_part):
+    doubled = [*VERTICES, VERTICES[0]]  # an id listed twice is one vertex
+    ranks = pagerank(graph(spark, EDGES, small, doubled), 0.17, 0.01, links_per_part=links_per_part)
     same_ranks(ranks, plain_ranks({1, 2, 3, 4, 5}, EDGES, 0.17, 0.01))
     assert ranks.agg(F.sum("pagerank")).first()[0] == pytest.approx(5)
 
 
+def test_a_round_moves_no_links(spark, conf):
+    conf("spark.sql.autoBroadcastJoinThreshold", -1)
+    vertices = Dimension(spark.createDataFrame([(1, 1), (2, 1)], "id int, parts int"), False)
+    pairs = spark.createDataFrame([(1, 2, 1.0)], "src int, dst int, part double")
+    links = vertex_rank._links(pairs, vertices.rows, vertices).persist()
+    links.count()
+    ranks = vertices.rows.withColumns({"rank": F.lit(0.2), "delta": F.lit(0.2)})
+    for _ in range(2):
+        ranks = vertex_rank._round(ranks, links, False, 0.2, 0.01)
+    # one exchange a round by source and salt, for the ranks; the links stay
+    moved = re.findall(r"hashpartitioning\(src#\d+, salt#\d+, \d+\), ENSURE_REQUIREMENTS", plan(ranks))
+    assert len(moved) == 2 and "InMemoryTableScan" in plan(ranks)
+    assert ranks.count() == 2
+    links.unpersist()
+
+
 @settings(max_examples=3, deadline=None, suppress_health_check=list(HealthCheck))
-@given(st.lists(st.tuples(st.integers(0, 7), st.integers(0, 7)), max_size=30))
-def test_pagerank_of_any_graph(spark, edges):
-    vertices = [(i, "", "", "") for i in range(7)]
-    ranks = pagerank(graph(spark, edges, vertices=vertices), 0.2, 0.05)
+@given(st.lists(st.tuples(st.integers(0, 7), st.integers(0, 7)), max_size=30), st.booleans())
+def test_pagerank_of_any_graph(spark, edges, small):
+    vertices = [(i, "", "", "") for i in [*range(7), 3]]
+    ranks = pagerank(graph(spark, edges, small, vertices), 0.2, 0.05, links_per_part=2)
     same_ranks(ranks, plain_ranks(set(range(7)), edges, 0.2, 0.05))
 
 
@@ -159,3 +176,16 @@ def test_checkpoints_go_where_the_session_says(tmp_path):
     done = subprocess.run(command, cwd=root, capture_output=True, text=True, timeout=120)
     assert done.stdout.strip() == "2"
     assert list((tmp_path / "shared").glob("*/rdd-*"))
+
+
+def test_two_dimensions_are_one_id_space(spark):
+    zones = "LocationID int, Borough string, Zone string, service_zone string"
+    suppliers = spark.createDataFrame([(1, "x", "S1", ""), (2, "y", "S2", "")], zones)
+    customers = spark.createDataFrame([(1, "x", "C1", ""), (3, "y", "C3", "")], zones)
+    trips = spark.createDataFrame(
+        [(1, 1, 1), (2, 3, 1), (1, 1, 1)], "pickup_location int, dropoff_location int, month int"
+    )
+    g = Mart.of(trips, suppliers, customers).graph()
+    assert {r.id for r in g.vertices.rows.collect()} == {"pickup:1", "pickup:2", "dropoff:1", "dropoff:3"}
+    assert sorted((r.src.Zone, r.dst.Zone) for r in triplets(g).collect()) == [("S1", "C1"), ("S2", "C3")]
+    assert motif_count(g, "a.Borough = b.Borough").first()[0] == 3

@@ -105,3 +105,11 @@ def test_files(spark, tmp_path):
     assert [r.LocationID for r in zones.orderBy("LocationID").collect()] == [1, 5, 6]
     assert trips.count() == 2
     assert "Python" not in plan(trips.groupBy("business").agg(F.sum("driver_total_pay")))
+
+
+@pytest.mark.parametrize("mode", ["strict_split", "csv"])
+def test_the_header_is_the_first_kept_line(spark, mode):
+    preamble = ["Zones of the city, as of today", *ZONE_LINES]
+    got = parse_lines(lines(spark, preamble), ZONE_SCHEMA, mode=mode, quoted=True)
+    assert rows(got) == rows(parse_lines(lines(spark, ZONE_LINES), ZONE_SCHEMA, mode=mode, quoted=True))
+    assert parse_lines(lines(spark, ["just, three, fields"]), ZONE_SCHEMA, mode=mode).count() == 0

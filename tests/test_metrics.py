@@ -12,6 +12,7 @@ from tripmart.operators import (
     Mean,
     Total,
     aggregate_trips,
+    count_trips,
     enrich,
     join_zone,
     with_calendar,
@@ -58,7 +59,7 @@ def report(trips, dimension):
 
 @settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(trip, max_size=40))
-def test_both_ways_agree_with_plain_python(spark, data):
+def test_hinted_and_plain_joins_agree_with_plain_python(spark, data):
     trips = spark.createDataFrame(data, TRIPS)
     expected: dict = {}
     for business, start, end, month, pay in data:
@@ -125,3 +126,19 @@ def test_calendar(spark, seconds, day):
     dated = with_calendar(spark.createDataFrame([(seconds,)], "date bigint"), year=True).first()
     assert str(dated.date) == day
     assert (dated.year, dated.month) == (dated.date.year, dated.date.month)
+
+
+def test_money_is_summed_exactly(spark):
+    rows_of = [("A", 1, 1, 1, v) for v in (0.1, 1e12, 0.2, -1e12, None, float("nan"))]
+    money = Total("sum", "pay", digits=4)
+    trips = spark.createDataFrame(rows_of, TRIPS)
+    got = aggregate_trips(trips, zones(spark), zones(spark), by={"m": F.col("month")}, trip_columns=["month"], metrics=[money])
+    assert rows(got) == [(1, 0.3)]
+
+
+def test_trips_are_counted_by_pair(spark):
+    trips = spark.createDataFrame([("A", 1, 3, 1, 1.0), ("A", 3, 3, 1, 1.0), ("A", 1, 9, 1, 1.0)], TRIPS)
+    for small in (True, False):
+        z = zones(spark, small)
+        assert count_trips(trips, z, z, "n").first()[0] == enrich(trips, z, z).count() == 6
+        assert count_trips(trips, z, z, "n", F.col("Pickup_Borough") == "Nowhere").first()[0] == 0

@@ -15,15 +15,15 @@ from tripmart.schemas import ZONE_SCHEMA
 LARGE = {"spark.sql.autoBroadcastJoinThreshold": -1}
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(entry.trip_queries()))
 def test_no_python_workers_and_no_pairs_without_keys(spark, name):
-    text = plan(entry.queries()[name](spark, DATA))
+    text = plan(entry.trip_queries()[name](spark, DATA))
     for bad in ("Python", "Pandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert bad not in text
 
 
 def test_scan_reads_only_what_a_count_needs(spark):
-    text = plan(entry.queries()["monthly_trip_count"](spark, DATA))
+    text = plan(entry.trip_queries()["monthly_trip_count"](spark, DATA))
     (read,) = {m for m in re.findall(r"ReadSchema: struct<(l_[^>]*)>", text)}
     assert [c.split(":")[0] for c in read.split(",")] == [
         "l_orderkey",
@@ -43,12 +43,12 @@ def test_scan_reads_only_what_a_count_needs(spark):
     ],
 )
 def test_filters_reach_the_scan(spark, name, filters):
-    text = plan(entry.queries()[name](spark, DATA))
+    text = plan(entry.trip_queries()[name](spark, DATA))
     assert all(f in text for f in filters)
 
 
 def test_od_trips_narrow_suppliers_and_customers_before_the_fact_joins(spark):
-    text = plan(entry.queries()["od_trips"](spark, DATA))
+    text = plan(entry.trip_queries()["od_trips"](spark, DATA))
     semi = re.findall(r"Left keys \[1\]: \[(\w+)#\d+\]\n.*\nJoin type: LeftSemi", text)
     assert sorted(semi) == ["c_nationkey", "s_nationkey"]
 
@@ -56,7 +56,7 @@ def test_od_trips_narrow_suppliers_and_customers_before_the_fact_joins(spark):
 def test_line_items_are_shuffled_for_two_joins_only(spark, conf):
     for key, value in LARGE.items():
         conf(key, value)
-    text = plan(entry.queries()["monthly_report"](spark, DATA))
+    text = plan(entry.trip_queries()["monthly_report"](spark, DATA))
     wide = [
         block
         for block in re.findall(r"\) Exchange\nInput \[\d+\]: \[([^\]]*)\]", text)
@@ -67,7 +67,7 @@ def test_line_items_are_shuffled_for_two_joins_only(spark, conf):
 
 def test_one_pass_for_several_metrics(spark):
     for name in ("earning_per_mile", "monthly_report", "shared_routes_top10"):
-        text = plan(entry.queries()[name](spark, DATA))
+        text = plan(entry.trip_queries()[name](spark, DATA))
         assert text.count("Location: InMemoryFileIndex [file:" + DATA + "/lineitem") == 1
 
 

@@ -49,9 +49,9 @@ def test_profile(spark):
     frame = counts(spark)
     assert rows(row_count(frame)) == [(10,)]
     assert rows(schema_report(frame)) == [
-        (0, "month", "int", 10),
-        (1, "area", "string", 10),
-        (2, "trip_count", "bigint", 10),
+        (0, "month", "int", 10, 10),
+        (1, "area", "string", 10, 10),
+        (2, "trip_count", "bigint", 10, 10),
     ]
     assert preview(frame, 4).count() == 4
     first = preview(frame, 2, F.col("area"), F.col("month")).collect()

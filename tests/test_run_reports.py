@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import pytest
+
 import run_reports
 from tests.test_lines import TRIP_HEADER
 from tripmart.plans import Mart, monthly
@@ -51,7 +53,7 @@ def arguments(tmp_path, *more):
 
 def test_all_reports_from_text_files(spark, tmp_path):
     paths = run_reports.run(spark, arguments(tmp_path, "--stage", str(tmp_path / "stage")))
-    assert len(paths) == 28
+    assert len(paths) == 24
     by_name = {p.rsplit("/", 1)[1]: p for p in paths}
 
     def saved(name, schema):
@@ -98,3 +100,31 @@ def test_year_as_a_further_key(spark):
     mart = Mart.of(trips, zones, year=True)
     report = monthly.monthly_report(mart, monthly.TRIPS, keys=("business", "year", "month"))
     assert sorted(tuple(r) for r in report.collect()) == [("P", 2022, 1, 1), ("P", 2023, 1, 1)]
+
+
+def test_families_are_taken_once_and_row_tables_go_to_parquet(spark, tmp_path):
+    args = arguments(tmp_path, "--row-tables", str(tmp_path / "rows"), "--year", "--stage", str(tmp_path / "s"))
+    paths = run_reports.run(spark, args)
+    assert len(paths) == 29 and {p.name for p in (tmp_path / "s").iterdir() if p.is_dir()} == {"year=2023"}
+    assert spark.read.parquet(str(tmp_path / "rows" / "r1" / "od_trips")).count() == 2
+    monthly_rows = spark.read.csv(str(tmp_path / "out" / "r1" / "monthly_report"), header=True)
+    assert len(monthly_rows.columns) == 6 and monthly_rows.count() == 3
+    mart = Mart.of(spark.createDataFrame([("P", 1, 1, JAN_1, 1.0, 2.0)],
+        "business string, pickup_location int, dropoff_location int, date bigint,"
+        " rideshare_profit double, driver_total_pay double"),
+        spark.createDataFrame([(1, "b", "z", "s")], ZONE_SCHEMA), share=True)
+    plans = [r(mart)._jdf.queryExecution().executedPlan().toString()
+             for r in (monthly.monthly_trip_count, monthly.monthly_all)]
+    assert all("InMemoryTableScan" in p for p in plans) and len(mart.shared) == 1
+    mart.release()
+    assert not mart.shared
+
+
+def test_a_bad_checkpoint_folder_stops_the_run_first(spark, tmp_path, monkeypatch):
+    def refuse(_):
+        raise RuntimeError("no folder")
+
+    monkeypatch.setattr(run_reports, "ensure_checkpoint_dir", refuse)
+    with pytest.raises(RuntimeError, match="no folder"):
+        run_reports.run(spark, arguments(tmp_path))
+    assert not (tmp_path / "out").exists()

@@ -12,7 +12,7 @@ from tripmart.operators.graph import (
     trip_edges,
     zone_vertices,
 )
-from tripmart.operators.metrics import Count, Mean, Metric, Total, aggregate_trips
+from tripmart.operators.metrics import Count, Mean, Metric, Total, aggregate_trips, count_trips
 from tripmart.operators.vertex_rank import pagerank
 from tripmart.operators.profile import preview, row_count, schema_report
 from tripmart.operators.ranking import top_k, top_n_per_group
@@ -27,6 +27,7 @@ __all__ = [
     "Total",
     "aggregate_trips",
     "between_exclusive",
+    "count_trips",
     "edge_weights",
     "enrich",
     "equals",

@@ -68,12 +68,6 @@ def motif_edge(graph: Graph, predicate: str = SAME_AREA) -> DataFrame:
 
 
 def motif_count(graph: Graph, predicate: str = SAME_AREA, name: str = "edge_count") -> DataFrame:
-    """Number of rows of ``motif_edge``.
-
-    Small vertices: map-side joins and a count that shuffles one number per task.
-    Large vertices: parallel edges are folded first, so a busy pair is one row.
-    """
-    if graph.vertices.small:
-        return motif_edge(graph, predicate).agg(F.count("*").alias(name))
+    """Number of rows of ``motif_edge``; parallel edges are folded first, so a busy pair is one row."""
     matched = _both_ends(edge_weights(graph.edges), graph.vertices, F.expr(predicate))
     return matched.agg(F.coalesce(F.sum("e.w"), F.lit(0)).alias(name))

@@ -15,12 +15,10 @@ LOCATIONS = ("pickup_location", "dropoff_location")
 
 
 class Metric(Protocol):
-    """An aggregate that can be taken at once or in two steps."""
+    """An aggregate that is taken in two steps."""
 
     name: str
 
-    def at_once(self) -> Column: ...
-
     def partial(self) -> dict[str, Column]: ...
 
     def merged(self) -> Column: ...
@@ -31,11 +29,9 @@ class Count:
     name: str
     where: Column | None = None
 
-    def at_once(self) -> Column:
-        return F.count("*") if self.where is None else F.count_if(self.where)
-
     def partial(self) -> dict[str, Column]:
-        return {f"{self.name}_n": self.at_once()}
+        n = F.count("*") if self.where is None else F.count_if(self.where)
+        return {f"{self.name}_n": n}
 
     def merged(self) -> Column:
         return F.sum(f"{self.name}_n")
@@ -43,17 +39,24 @@ class Count:
 
 @dataclass(frozen=True)
 class Total:
+    """``digits`` sums decimals of so many places exactly, in any order of the rows.
+
+    Each value is rounded to the places first; one that is no number is null.
+    """
+
     name: str
     column: str
-
-    def at_once(self) -> Column:
-        return F.sum(self.column)
+    digits: int | None = None
 
     def partial(self) -> dict[str, Column]:
-        return {f"{self.name}_s": F.sum(self.column)}
+        value = F.col(self.column)
+        if self.digits is not None:
+            value = value.try_cast(f"decimal(28,{self.digits})")
+        return {f"{self.name}_s": F.sum(value)}
 
     def merged(self) -> Column:
-        return F.sum(f"{self.name}_s")
+        total = F.sum(f"{self.name}_s")
+        return total if self.digits is None else total.cast("double")
 
 
 @dataclass(frozen=True)
@@ -61,9 +64,6 @@ class Mean:
     name: str
     column: str
 
-    def at_once(self) -> Column:
-        return F.avg(self.column)
-
     def partial(self) -> dict[str, Column]:
         return {f"{self.name}_s": F.sum(self.column), f"{self.name}_n": F.count(self.column)}
 
@@ -82,23 +82,35 @@ def aggregate_trips(
 ) -> DataFrame:
     """Group enriched trips by ``by`` (name to expression) and take the metrics.
 
-    With two small dimensions the joins are map-side and the trips meet their
-    first shuffle as partial aggregates of the final, coarse key. Otherwise the
-    trips are aggregated by location first: what the zone joins then shuffle has
-    one row per location pair and ``trip_columns`` (the trip columns that ``by``
-    reads), however many trips one location holds. Both ways give the same rows,
-    also when a location occurs twice in a dimension.
+    The trips are aggregated by location first: what meets the zones has one row
+    per location pair and ``trip_columns`` (the trip columns that ``by`` reads),
+    however many trips one location holds, and so does what is shuffled. A
+    location that occurs twice in a dimension counts twice. The size of the
+    dimensions only decides whether Spark is told to broadcast them.
     """
     keys = [expression.alias(name) for name, expression in by.items()]
-    if pickup.small and dropoff.small:
-        enriched = enrich(trips, pickup, dropoff)
-        return _grouped(enriched, keys, [m.at_once().alias(m.name) for m in metrics])
     parts = [part.alias(name) for m in metrics for name, part in m.partial().items()]
     by_location = _grouped(trips, [F.col(c) for c in (*LOCATIONS, *trip_columns)], parts)
     enriched = enrich(by_location, pickup, dropoff)
     return _grouped(enriched, keys, [m.merged().alias(m.name) for m in metrics])
 
 
+def count_trips(
+    trips: DataFrame,
+    pickup: Dimension,
+    dropoff: Dimension,
+    name: str,
+    where: Column | None = None,
+) -> DataFrame:
+    """One row: the number of enriched trips that ``where``, over zone columns, picks.
+
+    Counted by location pair before the zone joins.
+    """
+    pairs = enrich(trips.groupBy(*LOCATIONS).agg(F.count("*").alias("n")), pickup, dropoff)
+    chosen = pairs if where is None else pairs.filter(where)
+    return chosen.agg(F.coalesce(F.sum("n"), F.lit(0)).alias(name))
+
+
 def _grouped(rows: DataFrame, keys: list[Column], values: list[Column]) -> DataFrame:
     """Distinct keys where there is nothing to aggregate."""
     return rows.groupBy(*keys).agg(*values) if values else rows.select(*keys).distinct()

@@ -1,6 +1,6 @@
 """The named reports, each composed from the operators."""
 
-from tripmart.plans.catalog import Settings, catalog
+from tripmart.plans.catalog import ROW_TABLES, Settings, catalog
 from tripmart.plans.mart import Mart
 
-__all__ = ["Mart", "Settings", "catalog"]
+__all__ = ["ROW_TABLES", "Mart", "Settings", "catalog"]

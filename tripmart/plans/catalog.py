@@ -7,12 +7,15 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
-from tripmart.operators import row_count, schema_report
+from tripmart.operators import count_trips, schema_report
 from tripmart.plans import monthly, rankings, routes, selections, time_of_day, waiting, zone_graph
 from tripmart.plans.mart import Mart
 
 Report = Callable[[Mart], DataFrame]
 
+#: Reports with a row for every trip or pair of zones, which grow with the trips.
+ROW_TABLES = ("enriched_trips", "od_trips", "graph_edges", "graph_triplets", "same_area_edges")
+
 
 @dataclass(frozen=True)
 class Settings:
@@ -38,7 +41,7 @@ class Settings:
 def catalog(s: Settings) -> dict[str, Report]:
     return {
         "enriched_trips": enriched_trips,
-        "trip_row_count": lambda m: row_count(m.enriched),
+        "trip_row_count": lambda m: count_trips(m.trips, m.pickup, m.dropoff, "row_count"),
         "trip_schema": lambda m: schema_report(enriched_trips(m)),
         "monthly_trip_count": monthly.monthly_trip_count,
         "monthly_platform_profit": monthly.monthly_platform_profit,
@@ -64,6 +67,7 @@ def catalog(s: Settings) -> dict[str, Report]:
         "evening_groups": lambda m: selections.groups_at(m, s.time_of_day),
         "od_trips": lambda m: selections.od_trips(m, s.origin, s.destination),
         "od_trip_count": lambda m: selections.od_trip_count(m, s.origin, s.destination),
+        "od_trip_preview": lambda m: selections.od_trip_preview(m, s.origin, s.destination),
         "shared_routes_top10": lambda m: routes.shared_routes_top(m, s.shared, s.shared_routes),
         "graph_vertices": zone_graph.graph_vertices,
         "graph_edges": zone_graph.graph_edges,
@@ -78,4 +82,4 @@ def catalog(s: Settings) -> dict[str, Report]:
 
 def enriched_trips(mart: Mart) -> DataFrame:
     """Trips with both zones and a DATE."""
-    return mart.enriched.drop("month")
+    return mart.enriched.drop("month", "year")

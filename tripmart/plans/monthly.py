@@ -8,15 +8,25 @@ from tripmart.operators import Count, Metric, Total, equals
 from tripmart.plans.mart import Mart
 
 TRIPS = Count("trip_count")
-PROFIT = Total("platform_profit", "rideshare_profit")
-EARNINGS = Total("driver_earnings", "driver_total_pay")
+PROFIT = Total("platform_profit", "rideshare_profit", digits=4)
+EARNINGS = Total("driver_earnings", "driver_total_pay", digits=4)
+KEYS = ("business", "month")
 
 
 def monthly_report(
-    mart: Mart, *metrics: Metric, keys: tuple[str, ...] = ("business", "month")
+    mart: Mart, *metrics: Metric, keys: tuple[str, ...] | None = None
 ) -> DataFrame:
-    """Add ``year`` to the keys for a mart that carries it."""
-    return mart.report({key: key for key in keys}, list(keys), *metrics)
+    """Metrics per key; a mart that carries the year has it as a further key."""
+    if keys is None:
+        keys = ("business", "year", "month") if "year" in mart.trips.columns else KEYS
+
+    def grouped(*some: Metric) -> DataFrame:
+        return mart.report({key: key for key in keys}, list(keys), *some)
+
+    shared = mart.family(f"by {keys}", lambda: grouped(TRIPS, PROFIT, EARNINGS))
+    if shared is not None and {*metrics} <= {TRIPS, PROFIT, EARNINGS}:
+        return shared.select(*keys, *(m.name for m in metrics))
+    return grouped(*metrics)
 
 
 def monthly_trip_count(mart: Mart) -> DataFrame:
@@ -38,4 +48,5 @@ def monthly_all(mart: Mart) -> DataFrame:
 
 def provider_series(report: DataFrame, business: str) -> DataFrame:
     """One provider's months in order; the filter reaches the scan below the report."""
-    return equals(report, business=business).orderBy("month")
+    order = [c for c in ("year", "month") if c in report.columns]
+    return equals(report, business=business).orderBy(*order)

@@ -22,6 +22,6 @@ def top_areas_per_month(mart: Mart, area: str, n: int = 5) -> DataFrame:
 
 def top_routes_by_pay(mart: Mart, origin: str, destination: str, k: int = 30) -> DataFrame:
     pay = mart.report(
-        {"Route": route_label(origin, destination)}, [], Total("total_profit", "driver_total_pay")
+        {"Route": route_label(origin, destination)}, [], Total("total_profit", "driver_total_pay", digits=4)
     )
     return top_k(pay, "total_profit", ["Route"], k)

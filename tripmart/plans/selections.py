@@ -2,19 +2,25 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripmart.operators import Count, between_exclusive, equals, row_count
+from tripmart.operators import Count, between_exclusive, count_trips, equals, preview
 from tripmart.plans.mart import Mart
 
 
 def borough_time_counts(mart: Mart) -> DataFrame:
-    return mart.report(
-        {"Pickup_Borough": "Pickup_Borough", "time_of_day": "time_of_day"},
-        ["time_of_day"],
-        Count("trip_count"),
-    )
+    def counted() -> DataFrame:
+        return mart.report(
+            {"Pickup_Borough": "Pickup_Borough", "time_of_day": "time_of_day"},
+            ["time_of_day"],
+            Count("trip_count"),
+        )
+
+    shared = mart.family("by borough and time", counted)
+    return counted() if shared is None else shared
 
 
 def sparse_groups(mart: Mart, below: int = 1000, above: int = 0) -> DataFrame:
@@ -44,10 +50,19 @@ def _located(mart: Mart, origin: str, destination: str) -> DataFrame:
 
 
 def od_trips(mart: Mart, origin: str, destination: str) -> DataFrame:
-    located = Mart(_located(mart, origin, destination), mart.pickup, mart.dropoff)
+    located = replace(mart, trips=_located(mart, origin, destination))
     chosen = equals(located.enriched, Pickup_Borough=origin, Dropoff_Borough=destination)
     return chosen.select("Pickup_Borough", "Dropoff_Borough", "Pickup_Zone")
 
 
 def od_trip_count(mart: Mart, origin: str, destination: str) -> DataFrame:
-    return row_count(od_trips(mart, origin, destination), "trip_count")
+    """Counted by location pair, before the zone joins."""
+    both = (F.col("Pickup_Borough") == origin) & (F.col("Dropoff_Borough") == destination)
+    located = _located(mart, origin, destination)
+    return count_trips(located, mart.pickup, mart.dropoff, "trip_count", both)
+
+
+def od_trip_preview(mart: Mart, origin: str, destination: str, n: int = 10) -> DataFrame:
+    """First rows of ``od_trips`` in the order of all columns."""
+    trips = od_trips(mart, origin, destination)
+    return preview(trips, n, *(F.col(c) for c in trips.columns))

@@ -14,7 +14,13 @@ LENGTH = Mean("average_trip_length", "trip_length")
 
 
 def _averages(mart: Mart, *metrics: Metric) -> DataFrame:
-    return mart.report({"time_of_day": "time_of_day"}, ["time_of_day"], *metrics)
+    def grouped(*some: Metric) -> DataFrame:
+        return mart.report({"time_of_day": "time_of_day"}, ["time_of_day"], *some)
+
+    shared = mart.family("by time of day", lambda: grouped(PAY, LENGTH))
+    if shared is not None:
+        return shared.select("time_of_day", *(m.name for m in metrics))
+    return grouped(*metrics)
 
 
 def avg_pay_by_time_of_day(mart: Mart) -> DataFrame:

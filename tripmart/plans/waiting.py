@@ -19,13 +19,16 @@ def daily_mean(dated: DataFrame, column: str, name: str, month: int = JANUARY) -
 
 
 def january_daily_wait(mart: Mart) -> DataFrame:
-    days = mart.report(
-        {"day": F.dayofmonth("date")},
-        ["date"],
-        Mean("average_waiting_time", "request_to_pickup"),
-        trips=in_months(mart.trips, JANUARY),
-    )
-    return days.orderBy("day")
+    def daily() -> DataFrame:
+        return mart.report(
+            {"day": F.dayofmonth("date")},
+            ["date"],
+            Mean("average_waiting_time", "request_to_pickup"),
+            trips=in_months(mart.trips, JANUARY),
+        )
+
+    shared = mart.family("by day of January", daily)
+    return (daily() if shared is None else shared).orderBy("day")
 
 
 def wait_anomalies(mart: Mart, threshold: float = 300) -> DataFrame:

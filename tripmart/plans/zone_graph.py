@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripmart.operators import motif_count, motif_edge, pagerank, top_k, triplets
+from tripmart.operators.graph import SAME_AREA
 from tripmart.plans.mart import Mart
 
 
@@ -37,8 +38,8 @@ def same_area_edges(mart: Mart) -> DataFrame:
     return motif_edge(mart.graph())
 
 
-def same_area_edge_count(mart: Mart) -> DataFrame:
-    return motif_count(mart.graph())
+def same_area_edge_count(mart: Mart, predicate: str = SAME_AREA) -> DataFrame:
+    return motif_count(mart.graph(), predicate)
 
 
 def pagerank_top(mart: Mart, k: int = 5, reset: float = 0.17, tol: float = 0.01) -> DataFrame:

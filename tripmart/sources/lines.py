@@ -46,17 +46,20 @@ def split_fields(lines: DataFrame, names: list[str], separator: str = ",") -> Da
 
 
 def parse_csv_fields(lines: DataFrame, names: list[str], separator: str = ",") -> DataFrame:
-    """Quote-aware split; lines with another number of fields are dropped."""
+    """Quote-aware split; lines with another number of fields are dropped.
+
+    Keeps the line as ``value`` next to the fields.
+    """
     text = ", ".join(f"`{name}` STRING" for name in (*names, "_rejected"))
     options = {
         "mode": "PERMISSIVE",
         "columnNameOfCorruptRecord": "_rejected",
         "sep": separator,
     }
-    parsed = lines.select(F.from_csv(F.col(LINE), text, options).alias("f"))
+    parsed = lines.select(LINE, F.from_csv(F.col(LINE), text, options).alias("f"))
     kept = parsed.filter(F.col("f._rejected").isNull())
     # the csv parser reads a blank as null; a blank stays an empty string here
-    return kept.select(*(F.coalesce(F.col(f"f.{n}"), F.lit("")).alias(n) for n in names))
+    return kept.select(LINE, *(F.coalesce(F.col(f"f.{n}"), F.lit("")).alias(n) for n in names))
 
 
 def strip_quotes(rows: DataFrame, columns: list[str] | None = None) -> DataFrame:
@@ -93,12 +96,17 @@ def parse_lines(
     quoted: bool = False,
     float32: bool = False,
 ) -> DataFrame:
-    """Lines (one string column ``value``) to a typed table."""
+    """Lines (one string column ``value``) to a typed table.
+
+    Without ``header`` the first line that has the right number of fields in the
+    given mode is taken for it. Of several files that finds only the header that
+    the first one has; give the text where others differ.
+    """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
     names = schema.fieldNames()
     if mode == "csv":
-        rows = parse_csv_fields(drop_header(lines, header), names)
+        rows = drop_header(parse_csv_fields(lines, names), header).drop(LINE)
     else:
         kept = drop_header(keep_arity(lines, len(names)), header)
         rows = split_fields(kept, names)

@@ -6,13 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def stage_trips(trips: DataFrame, path: str) -> None:
-    """Write trips with a ``month`` column, one directory per month.
+    """Write trips with a ``month`` column, one directory per month, or per year and month.
 
     The rebalance hint lets adaptive execution split a month that holds most of
     the rows and merge the small ones, which bounds both file size and the
     number of files.
     """
-    trips.hint("rebalance", "month").write.mode("overwrite").partitionBy("month").parquet(path)
+    levels = [c for c in ("year", "month") if c in trips.columns]
+    trips.hint("rebalance", *levels).write.mode("overwrite").partitionBy(*levels).parquet(path)
 
 
 def read_staged_trips(spark: SparkSession, path: str) -> DataFrame:
