@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
 from tests.conftest import plan, rows
@@ -59,7 +61,8 @@ def test_profile(spark):
 
 
 def test_shared_routes_equal_the_join_of_two_counts(spark):
-    zones = [(i, "", f"zone {i % 3}", "") for i in range(5)]  # several ids of one name
+    # several ids of one name, an id that occurs twice, and trips to an unknown one
+    zones = [(i, "", f"zone {i % 3}", "") for i in (0, 1, 2, 3, 4, 4)]
     trips = spark.createDataFrame(
         [("XYZ"[(i * i + j) % 3], i % 5, (i * j) % 6) for i in range(30) for j in range(9)],
         "business string, pickup_location int, dropoff_location int",
@@ -78,3 +81,14 @@ def test_shared_routes_equal_the_join_of_two_counts(spark):
     for small in (True, False):
         side = Dimension(frame, small)
         assert rows(shared_routes(trips, side, side, {"x": "X", "y": "Y"})) == wanted
+
+
+def test_shared_routes_shuffle_no_names(spark, conf):
+    conf("spark.sql.autoBroadcastJoinThreshold", -1)
+    trips = spark.createDataFrame([("X", 1, 2)], "business string, pickup_location int, dropoff_location int")
+    side = Dimension(spark.createDataFrame([(1, "", "a", ""), (2, "", "b", "")], ZONE_SCHEMA), False)
+    text = plan(shared_routes(trips, side, side, {"x": "X", "y": "Y"}))
+    moved = re.findall(r"Exchange\nInput \[\d+\]: \[([^\]]*)\]", text)
+    # what carries counts carries no name until the last joins, which have the served routes only
+    assert [m for m in moved if "x#" in m and "_name" not in m and "Zone" not in m]
+    assert sum("x#" in m and "Zone" in m for m in moved) == 0
