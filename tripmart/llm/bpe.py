@@ -25,8 +25,8 @@ from pyspark.sql import functions as F
 
 from tripmart.llm.workers import importable, texts
 
-CACHED_WORDS = 400_000
-CACHED_PAIRS = 1_000_000
+CACHED_WORDS = 60_000
+CACHED_PAIRS = 300_000
 
 
 def byte_chars() -> list[str]:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 import xxhash
 
-CACHED_WORDS = 200_000
+CACHED_WORDS = 80_000
 GOLDEN = 0x9E3779B97F4A7C15
 
 

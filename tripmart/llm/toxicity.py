@@ -124,7 +124,7 @@ class Terms(dict):
     A dict from words seen to the numbers of their terms, emptied when it is full.
     """
 
-    def __init__(self, terms: dict[str, int], room: int = 200_000) -> None:
+    def __init__(self, terms: dict[str, int], room: int = 60_000) -> None:
         super().__init__()
         self.terms, self.room = terms, room
 

@@ -11,11 +11,16 @@ from pyspark.sql import DataFrame, SparkSession
 ROOT = str(Path(__file__).resolve().parents[2])
 
 
+#: Workers outlive their tasks; what a task frees goes back to the system.
+FREEING = {"ARROW_DEFAULT_MEMORY_POOL": "system", "MALLOC_TRIM_THRESHOLD_": "131072", "MALLOC_ARENA_MAX": "1"}
+
+
 def importable(spark: SparkSession) -> None:
     """Let workers import this package from where the driver has it, besides what is installed."""
-    paths = spark.sparkContext.environment
-    if ROOT not in paths.get("PYTHONPATH", "").split(":"):
-        paths["PYTHONPATH"] = ":".join(filter(None, [ROOT, paths.get("PYTHONPATH")]))
+    own = spark.sparkContext.environment
+    if ROOT not in own.get("PYTHONPATH", "").split(":"):
+        own["PYTHONPATH"] = ":".join(filter(None, [ROOT, own.get("PYTHONPATH")]))
+    own.update({k: v for k, v in FREEING.items() if k not in own})
 
 
 def map_batches(
