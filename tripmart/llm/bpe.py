@@ -18,6 +18,7 @@ import unicodedata
 from functools import cached_property, lru_cache
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -27,6 +28,8 @@ from tripmart.llm.workers import importable, texts
 
 CACHED_WORDS = 60_000
 CACHED_PAIRS = 300_000
+#: Rows whose results are held at once; the ids of an Arrow batch take far more room than its text.
+ROWS = 256
 
 
 def byte_chars() -> list[str]:
@@ -307,7 +310,8 @@ def encoded(
 
     def run(batches):
         bpe = encoder(vocabulary)
-        for batch in batches:
+        parts = (b.slice(i, ROWS) for b in batches for i in range(0, b.num_rows, ROWS))
+        for batch in parts:
             found: dict[str, list] = {name: [] for name in results}
             for value in texts(batch.column("text")):
                 words = list(bpe.encoded(value))
@@ -315,7 +319,7 @@ def encoded(
                 decoded = " ".join([w[2] for w in words])
                 made = {
                     "n_tokens": lambda: sum(w[1] for w in words),
-                    "ids": lambda: list(map(int, joined.split())),
+                    "ids": lambda: np.array(joined.split(), np.int32),
                     "decoded": lambda: decoded,
                     "ids_sha256": lambda: hashlib.sha256(joined.encode()).hexdigest(),
                     "decoded_sha256": lambda: hashlib.sha256(decoded.encode()).hexdigest(),
