@@ -37,6 +37,35 @@ def test_blocks_equal_a_walk_over_all_windows():
     assert found > 100
 
 
+def test_all_blocks_equal_a_walk_over_all_windows():
+    draw = random.Random(3)
+    templates = licenses.ordered(licenses.TEMPLATES, {"the": 900, "of": 500, "license": 9}, 0.85, 1.25)
+    several = 0
+    for _ in range(200):
+        t = draw.choice(templates)
+        text: list[str] = []
+        for _ in range(draw.randint(1, 4)):
+            text += draw.sample(t.words, draw.randint(t.need - 1, len(t.words)))
+            text += [draw.choice([*t.words, "x"]) for _ in range(draw.randint(0, 40))]
+        places: dict[str, list[int]] = {}
+        for i, w in enumerate(text):
+            places.setdefault(w, []).append(i)
+        held = [(len(set(text[i : i + t.span]) & set(t.words)), i) for i in range(len(text)) if text[i] in t.words]
+        got = licenses.all_blocks(places, t)
+        assert got == [(n, i) for n, i in held if n >= t.need]
+        several += len(got) > 1
+    assert several > 50
+
+
+def test_every_notice_of_a_template_has_its_block(spark):
+    notice = "Released under the MIT license"
+    text = " ".join([notice, *["filler"] * 50, notice, *["filler"] * 50, "licensed under cc by nc 4 0"])
+    row = licenses.licence_scan(documents(spark, [(1, text, "en", "a", 0)])).first()
+    full = {(b.label, b.start) for b in row.blocks if b.containment == 1}
+    assert {("mit", 0), ("mit", 55), ("cc-by-nc", 110)} <= full
+    assert {b.start for b in row.blocks if b.label == "mit"} == {0, 55}
+
+
 def test_licences_on_awkward_rows(spark):
     docs = documents(spark)
     got = {(r.doc_id, r.labels, r.n_base) for r in licenses.licence_scan(docs).collect()}

@@ -88,16 +88,17 @@ def phrase_places(words: list[str], places: dict[str, list[int]], phrase: str) -
     return [s for s in starts if s >= 0 and words[s : s + len(parts)] == parts]
 
 
-def best_block(places: dict[str, list[int]], t: Template) -> tuple[int, int] | None:
-    """Most distinct words of ``t`` in a block and the first place it starts at, if they reach ``need``.
+def all_blocks(places: dict[str, list[int]], t: Template) -> list[tuple[int, int]]:
+    """Distinct words of ``t`` and start of every block that reaches ``need``, by start.
 
     A block starts at a word of the template; one that starts elsewhere holds no
-    more than the one that starts at its first such word.
+    more than the one that starts at its first such word. Blocks that overlap are
+    all there.
     """
     there = [w for w in t.words if w in places]
     if len(there) < t.need:
-        return None
-    best = None
+        return []
+    reached: dict[int, int] = {}
     for i, word in enumerate(t.prefix):
         if len(t.words) - i < t.need:
             break
@@ -108,10 +109,17 @@ def best_block(places: dict[str, list[int]], t: Template) -> tuple[int, int] | N
             for k, (start, _) in enumerate(near):
                 if start > at:
                     break
+                if start in reached:
+                    continue
                 block = {w for p, w in near[k:] if p < start + t.span}
-                if len(block) >= t.need and (best is None or (-len(block), start) < (-best[0], best[1])):
-                    best = (len(block), start)
-    return best
+                if len(block) >= t.need:
+                    reached[start] = len(block)
+    return [(held, start) for start, held in sorted(reached.items())]
+
+
+def best_block(places: dict[str, list[int]], t: Template) -> tuple[int, int] | None:
+    """The first of the blocks of ``all_blocks`` with most words."""
+    return min(all_blocks(places, t), key=lambda b: (-b[0], b[1]), default=None)
 
 
 def _between(places: list[int], low: int, high: int) -> list[int]:
@@ -133,11 +141,11 @@ def scan(text: str, phrases: dict[str, str], templates: list[Template], wanted:
             base.add(label)
     labels, score, blocks = set(base), 1.0 if base else 0.0, []
     for t in templates:
-        if (found := best_block(places, t)) is not None:
-            contained = found[0] / len(t.words)
+        for held, start in all_blocks(places, t):
+            contained = held / len(t.words)
             labels.add(t.label)
             score = max(score, contained)
-            blocks.append({"label": t.label, "start": found[1], "containment": contained})
+            blocks.append({"label": t.label, "start": start, "containment": contained})
     return {
         "n_words": len(words),
         "n_base": len(starts),
@@ -180,12 +188,12 @@ def licence_scan(
     containment: float = 0.85,
     slack: float = 1.25,
 ) -> DataFrame:
-    """One row per document: phrase places, labels, score and the best block per template.
+    """One row per document: phrase places, labels, score and all blocks.
 
     A block is ``slack`` times as long as its template. ``score`` is the largest
     containment found, 1 where a phrase stands, 0 where nothing reaches the
-    threshold. ``blocks`` has the first best block for each template that
-    matches. A null text is empty; null ids and repeated rows are documents like
+    threshold. ``blocks`` has every block that reaches the threshold, by template and
+    start, none folded: one notice may give several that overlap. A null text is empty; null ids and repeated rows are documents like
     others; other columns are not looked at; an empty table gives no rows.
 
     Two passes over the texts: one counts the templates' words, whose number the
