@@ -2,7 +2,7 @@
 
 Toxic documents go, one document of each near-duplicate class stays, passages
 that an earlier document has are cut, sources are mixed to their weights, and
-what is left is encoded. Every stage works on all that the one before kept, and
+what is left is encoded and decoded again. Every stage works on all that the one before kept, and
 all but the last return the columns of ``documents``.
 """
 
@@ -42,8 +42,10 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """``doc_id, n_tokens, ids, ids_sha256`` of each document taken."""
-    return encoded(docs, public_tokenizers.path(VOCABULARY), results=("n_tokens", "ids", "ids_sha256"))
+    """``doc_id, n_tokens, ids, ids_sha256, decoded_sha256`` of each document taken."""
+    return encoded(
+        docs, public_tokenizers.path(VOCABULARY), results=("n_tokens", "ids", "ids_sha256", "decoded_sha256")
+    )
 
 
 STAGES = [
