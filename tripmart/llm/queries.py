@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from tripmart.llm import (
     bpe,
+    collocations,
     host_rules,
     licenses,
     mixing,
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_url_filter": url_filter.op8_url_filter,
     "op9_host_rules": host_rules.op9_host_rules,
     "op10_near_duplicates": near_duplicates.op10_near_duplicates,
+    "op12_collocations": collocations.op12_collocations,
 }
 
 SQL = {
@@ -35,4 +37,5 @@ SQL = {
     "op4_perspectives": perspectives.OP4_SQL,
     "op7_top_k": top_k.OP7_SQL,
     "op9_host_rules": host_rules.OP9_SQL,
+    "op12_collocations": collocations.OP12_SQL,
 }
