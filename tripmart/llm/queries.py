@@ -6,6 +6,7 @@ from tripmart.llm import (
     bpe,
     collocations,
     host_rules,
+    lexical,
     licenses,
     mixing,
     near_duplicates,
@@ -27,6 +28,7 @@ QUERIES = {
     "op8_url_filter": url_filter.op8_url_filter,
     "op9_host_rules": host_rules.op9_host_rules,
     "op10_near_duplicates": near_duplicates.op10_near_duplicates,
+    "op11_lexical_search": lexical.op11_lexical_search,
     "op12_collocations": collocations.op12_collocations,
 }
 
@@ -37,5 +39,6 @@ SQL = {
     "op4_perspectives": perspectives.OP4_SQL,
     "op7_top_k": top_k.OP7_SQL,
     "op9_host_rules": host_rules.OP9_SQL,
+    "op11_lexical_search": lexical.OP11_SQL,
     "op12_collocations": collocations.OP12_SQL,
 }
