@@ -5,6 +5,7 @@ from __future__ import annotations
 from tripmart.llm import (
     bpe,
     collocations,
+    fingerprints,
     host_rules,
     lexical,
     licenses,
@@ -30,6 +31,7 @@ QUERIES = {
     "op10_near_duplicates": near_duplicates.op10_near_duplicates,
     "op11_lexical_search": lexical.op11_lexical_search,
     "op12_collocations": collocations.op12_collocations,
+    "op13_fingerprints": fingerprints.op13_fingerprints,
 }
 
 SQL = {
