@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -34,12 +35,14 @@ END = b"\xff"
 BREAKS = bytes.maketrans(b".,;:!?\n\x0b\x0c\r\t", END * 10 + b" ")
 #: Bytes of text counted at once, different words and stripe entries held before they are sent.
 CHUNK = 8 << 20
-HELD_WORDS = 400_000
-HELD_ENTRIES = 4_000_000
+HELD_WORDS = 300_000
+HELD_ENTRIES = 2_000_000
 #: Bits of the filters that later levels ask; fewer are used for few phrases.
 LEAST_BITS, MOST_BITS = 16, 27
 #: A prefix is hot if it has more than one in this many words per partition.
 HOT = 8
+#: Parts of a language that are ranked apart before they are ranked together.
+RANK_PARTS = 16
 
 
 def fold(before: np.ndarray, word: np.ndarray) -> np.ndarray:
@@ -135,7 +138,8 @@ class _Stripes:
             self.held[size].append(found)
             self.entries += len(found[0])
 
-    def entries_of(self, size: int) -> pa.Table | None:
+    def entries_of(self, size: int) -> tuple | None:
+        """Shards, ascending, numbers of stripes, word numbers and counts of the entries held."""
         if not self.held[size]:
             return None
         parts = self.held[size]
@@ -144,38 +148,59 @@ class _Stripes:
         ids = [high] if size == 1 else [high >> 32, high & 0xFFFFFFFF]
         if size > 2:
             ids += [low >> 32] + [low & 0xFFFFFFFF] * (size > 3)
-        hashes, words = np.array(self.words.hashes, np.uint64), pa.array(list(self.words), pa.binary())
+        hashes = np.array(self.words.hashes, np.uint64)
         prefix, split = np.repeat(self.seed, len(high)), np.zeros(len(high), bool)
+        stripe = np.zeros(len(high), bool)
         for k, x in enumerate(ids[:-1]):
             prefix = fold(prefix, hashes[x])
+            stripe[1:] |= x[1:] != x[:-1]
             if k < 2:
                 split |= np.isin(prefix, self.level.hot)
         shard = np.where(split | (size == 1), fold(prefix, hashes[ids[-1]]), prefix) % np.uint64(self.level.shards)
-        taken = [words.take(pa.array(x)) for x in ids]
-        before = pc.binary_join_element_wise(*taken[:-1], b" ") if size > 1 else pa.array([b""]).take(
-            pa.array(np.zeros(len(high), np.int64)))
-        return pa.table({
-            "shard": pa.array(shard.astype(np.int32)),
-            "lang": pa.array([self.lang]).take(pa.array(np.zeros(len(high), np.int64))),
-            "prefix": before.cast(pa.binary()), "next": taken[-1], "f": pa.array(counts.astype(np.int64)),
-        })
+        order = np.argsort(shard, kind="stable")
+        return shard[order].astype(np.int64), np.cumsum(stripe)[order], [x[order] for x in ids], counts[order]
 
 
 def _packed(stripes: dict[str, _Stripes]) -> Iterator[pa.RecordBatch]:
-    """One row for each shard, whose entries are an Arrow stream in a binary cell."""
-    tables = [t for s in stripes.values() for size in s.level.sizes if (t := s.entries_of(size)) is not None]
-    if not tables:
-        return
-    whole = pa.concat_tables(tables)
-    shard = whole["shard"].to_numpy()
-    order = np.argsort(shard, kind="stable")
-    whole, shard = whole.drop_columns(["shard"]).take(pa.array(order)).combine_chunks(), shard[order]
-    edges = np.flatnonzero(np.diff(shard, prepend=-1, append=-1))
-    for low, high in zip(edges[:-1], edges[1:], strict=True):
-        sink = pa.BufferOutputStream()
-        with pa.ipc.new_stream(sink, whole.schema) as out:
-            out.write_table(whole.slice(low, high - low))
-        yield columns(shard=pa.array([int(shard[low])], pa.int32()), entries=pa.array([sink.getvalue().to_pybytes()], pa.binary()))
+    """One row for each language, size and shard, with the stripes in it.
+
+    ``prefixes`` and ``nexts`` are words, one a line, ``lengths`` the entries of each
+    stripe, ``counts`` those of each entry; all compressed.
+    """
+    for lang, held in stripes.items():
+        words = np.array(list(held.words), object)
+        for size in held.level.sizes:
+            if (found := held.entries_of(size)) is None:
+                continue
+            shard, stripe, ids, counts = found
+            starts = np.flatnonzero(np.diff(shard * (int(stripe.max()) + 1) + stripe, prepend=-1))
+            lengths = np.diff(np.append(starts, len(shard)))
+            prefixes = [b" ".join(w) for w in zip(*(words[x[starts]] for x in ids[:-1]), strict=True)]
+            prefixes = prefixes or [b""] * len(starts)
+            edges = np.flatnonzero(np.diff(shard, prepend=-1, append=-1))
+            runs = np.searchsorted(starts, edges)
+            rows = [
+                (int(shard[a]), prefixes[c:d], lengths[c:d], words[ids[-1][a:b]], counts[a:b])
+                for a, b, c, d in zip(edges[:-1], edges[1:], runs[:-1], runs[1:], strict=True)
+            ]
+            yield columns(
+                shard=pa.array([r[0] for r in rows], pa.int32()), lang=pa.array([lang] * len(rows)),
+                prefixes=pa.array([zstandard.compress(b"\n".join(r[1]), 1) for r in rows]),
+                lengths=pa.array([zstandard.compress(r[2].astype("<i4").tobytes(), 1) for r in rows]),
+                nexts=pa.array([zstandard.compress(b"\n".join(r[3]), 1) for r in rows]),
+                counts=pa.array([zstandard.compress(r[4].astype("<i8").tobytes(), 1) for r in rows]),
+            )
+
+
+def _unpacked(batch: pa.RecordBatch) -> Iterator[pa.Table]:
+    for lang, *cells in zip(*(batch.column(c).to_pylist() for c in ("lang", "prefixes", "lengths", "nexts", "counts")), strict=True):
+        prefixes, lengths, nexts, counts = map(zstandard.decompress, cells)
+        at = np.repeat(np.arange(len(lengths) // 4), np.frombuffer(lengths, "<i4"))
+        yield pa.table({
+            "lang": pa.array([lang]).take(pa.array(np.zeros(len(at), np.int64))),
+            "prefix": pa.array(prefixes.split(b"\n"), pa.binary()).take(pa.array(at)),
+            "next": pa.array(nexts.split(b"\n"), pa.binary()), "f": pa.array(np.frombuffer(counts, "<i8")),
+        })
 
 
 def _counted(batches: Iterator[pa.RecordBatch], level: Level) -> Iterator[pa.RecordBatch]:
@@ -206,10 +231,10 @@ def _merged(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.Record
         return pa.concat_tables(held).group_by(["lang", "prefix", "next"]).aggregate([("f", "sum")]).rename_columns(
             ["lang", "prefix", "next", "f"])
     for batch in batches:
-        for entries in batch.column("entries"):
-            held.append(pa.ipc.open_stream(entries.as_buffer()).read_all())
-            rows += len(held[-1])
-            if rows > 2 * HELD_ENTRIES:
+        for entries in _unpacked(batch):
+            held.append(entries)
+            rows += len(entries)
+            if rows > 4 * HELD_ENTRIES:
                 held = [folded()]
                 rows = len(held[0]) // 2
     if not held:
@@ -237,7 +262,7 @@ def _merged(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.Record
 
 
 def _stripes(docs: DataFrame, level: Level, least: int) -> DataFrame:
-    dealt = docs.mapInArrow(partial(_counted, level=level), "shard int, entries binary").repartition(
+    dealt = docs.mapInArrow(partial(_counted, level=level), "shard int, lang string, prefixes binary, lengths binary, nexts binary, counts binary").repartition(
         level.shards, "shard"
     )
     return dealt.mapInArrow(
@@ -331,8 +356,11 @@ def collocations(
     best = scored.join(around, ["lang", "phrase"], "left").where(
         F.col("longer").isNull() | (wide("longer") * 100 < wide("a") * subsumed)
     ).select("lang", "phrase", "a", "cut.*")
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), F.asc("phrase"))
-    ranked = best.withColumn("rank", F.row_number().over(order).cast("long"))
+    by = (F.desc("score"), F.desc("a"), F.asc("phrase"))
+    if top is not None:  # of each part of a language, so that few rows meet for its ranks
+        some = Window.partitionBy("lang", F.pmod(F.xxhash64("phrase"), F.lit(RANK_PARTS))).orderBy(*by)
+        best = best.withColumn("rank", F.row_number().over(some)).where(F.col("rank") <= top)
+    ranked = best.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*by)).cast("long"))
     if top is not None:
         ranked = ranked.where(F.col("rank") <= top)
     # languages are as many rows as totals; a sum each, joined last
