@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tripmart.llm.workers import free
 from tripmart.storage import ensure_checkpoint_dir
 
 
@@ -12,23 +13,27 @@ def components(links: DataFrame) -> DataFrame:
     """``node, label`` for every node of ``links`` (``a, b``); label is the least node.
 
     Alternating stars: a round hangs every larger neighbour of a node, then every
-    smaller one, below the least neighbour, until the links are stars. A round
-    sums before it shuffles and joins on the node, so a hub's links can be
-    split. Rounds grow with the logarithm of the nodes; each is checkpointed.
+    smaller one, below the least neighbour, until the links are stars. Sums are
+    taken before the shuffle and checkpointed before they are joined, so that both sides
+    of a join are plain exchanges, of which the adaptive skew join splits a hub's
+    links. Rounds grow with the logarithm of the nodes; what a round has read is freed.
     """
-    ensure_checkpoint_dir(links.sparkSession)
+    spark = links.sparkSession
+    ensure_checkpoint_dir(spark)
     edges = links.where("a <> b").select(
         F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")
-    ).distinct()
+    ).distinct().checkpoint()
     state = None
     while True:
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")).checkpoint()
         large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = large.distinct()  # every node keeps its links to smaller nodes only
-        low = large.groupBy("a").agg(F.min("b").alias("m"))
+        large = large.distinct().checkpoint()  # every node keeps its links to smaller nodes only
+        low = large.groupBy("a").agg(F.min("b").alias("m")).checkpoint()
         small = large.join(low, "a").where("b > m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         edges = small.union(low.select("a", F.col("m").alias("b"))).distinct().checkpoint()
+        del both, least, large, low, small
+        free(spark)
         now = tuple(edges.agg(
             F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))
         ).first())

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from tripmart.llm import hashing
 from tripmart.llm.components import components
-from tripmart.llm.workers import columns, importable, map_batches
+from tripmart.llm.workers import columns, free, importable, map_batches
 from tripmart.storage import ensure_checkpoint_dir
 
 SHINGLE = 5
@@ -35,17 +35,51 @@ IDF_DAMPING = 0.25
 FAMILY_VALUES = 5
 #: Texts compared at once; larger buckets and families are dealt out in blocks.
 BLOCK = 800
-CHUNK = 400_000
+#: Bytes of text shingled and signed at once: what fits into a cache.
+CHUNK = 200_000
 
 
-def shingles(text: str | None) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct shingle hashes, ascending, and how often each occurs.
+def shingle_bags(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct shingle hashes of each text, ascending, how often each occurs, and where each text's begin.
 
     A text of one to four words is one shingle, an empty one has none.
     """
-    hashes = hashing.word_hashes(hashing.split(text))
-    found = hashing.window_hashes(hashes, min(SHINGLE, max(1, len(hashes))))
-    return np.unique(found, return_counts=True)
+    words, starts = hashing.hashed_words(texts)
+    n = np.diff(starts)
+    edges = np.concatenate([[0], np.cumsum(np.maximum(n - SHINGLE + 1, n > 0))])
+    flat = np.empty(edges[-1], np.uint64)
+    owner = np.repeat(np.arange(len(texts)), n)
+    windows = hashing.window_hashes(words, SHINGLE)
+    at = np.flatnonzero(owner[: len(windows)] == owner[SHINGLE - 1 :])
+    flat[edges[owner[at]] + at - starts[owner[at]]] = windows[at]
+    for i in np.flatnonzero((n > 0) & (n < SHINGLE)):
+        flat[edges[i]] = hashing.window_hashes(words[starts[i] : starts[i + 1]], int(n[i]))[0]
+    for low, high in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+        if high - low > 1:
+            flat[low:high].sort()
+    new = np.ones(len(flat), bool)
+    new[1:] = flat[1:] != flat[:-1]
+    new[edges[:-1][np.diff(edges) > 0]] = True
+    first = np.flatnonzero(new)
+    return flat[first], np.diff(np.append(first, len(flat))), np.searchsorted(first, edges)
+
+
+def shingles(text: str | None) -> tuple[np.ndarray, np.ndarray]:
+    """The bag of one text."""
+    return shingle_bags([(text or "").encode("utf-8", "surrogatepass")])[:2]
+
+
+def _chunks(column: pa.Array) -> Iterator[list[bytes]]:
+    """The texts of a column in runs of about ``CHUNK`` bytes, null as the empty text."""
+    held, size = [], 0
+    for value in column.cast(pa.binary()):
+        held.append(value.as_py() or b"")
+        size += len(held[-1])
+        if size >= CHUNK:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
 
 
 def _cells(found: np.ndarray) -> np.ndarray:
@@ -55,8 +89,8 @@ def _cells(found: np.ndarray) -> np.ndarray:
 def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts = np.zeros(IDF_CELLS, np.int64)
     for batch in batches:
-        for text in batch.column("text"):
-            np.add.at(counts, _cells(shingles(text.as_py())[0]), 1)
+        for texts in _chunks(batch.column("text")):
+            counts += np.bincount(_cells(shingle_bags(texts)[0]), minlength=IDF_CELLS)
     cells = np.flatnonzero(counts)
     yield columns(cell=pa.array(cells), n=pa.array(counts[cells]))
 
@@ -80,45 +114,82 @@ def idf_table(docs: DataFrame) -> np.ndarray:
 
 
 @lru_cache(maxsize=1)
-def _gamma() -> tuple[np.ndarray, np.ndarray]:
-    """Quantiles of the Gamma(2, 1) distribution at 2^16 even steps, and their logarithms."""
+def _gamma() -> np.ndarray:
+    """Quantiles of the Gamma(2, 1) distribution at 2^16 even steps."""
     x = np.concatenate([np.linspace(0, 1, 200_001)[1:] ** 2, np.linspace(1, 40, 400_001)[1:]])
     cdf = 1 - (1 + x) * np.exp(-x)
-    at = np.interp((np.arange(65_536) + 0.5) / 65_536, cdf, x).astype(np.float32)
-    return at, np.log(at)
+    return np.interp((np.arange(65_536) + 0.5) / 65_536, cdf, x).astype(np.float32)
 
 
-def signature(found: np.ndarray, weights: np.ndarray) -> np.ndarray:
-    """Improved consistent weighted sampling: ``VALUES`` numbers of 64 bits.
+@lru_cache(maxsize=1)
+def _pairs() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """r, ln c and ln c - r of 2^16 pairs of independent Gamma(2, 1) draws."""
+    gamma = _gamma()
+    ln_c = np.log(gamma[np.random.default_rng(17).permutation(1 << 16)])
+    return gamma, ln_c, ln_c - gamma
+
+
+#: For each value the odd number that turns a shingle's hash into its draws.
+SEEDS = hashing.mixed(np.arange(1, VALUES + 1, dtype=np.uint64) * np.uint64(hashing.GOLDEN)) | np.uint64(1)
+#: The least a of a text is exponential with its weight W: above ``SURE`` / W once in 22,000.
+SURE = 10.0
 
-    For each value every shingle draws r, c ~ Gamma(2, 1) and b ~ U(0, 1) from
-    its hash, t = floor(ln w / r + b), ln a = ln c - r (t - b + 1); the value is
-    that of the shingle and t with the least a. No shingles give zeros.
+
+def signatures(found: np.ndarray, edges: np.ndarray, weights: np.ndarray, sure: float = SURE) -> np.ndarray:
+    """Improved consistent weighted sampling: a row of ``VALUES`` numbers for each text.
+
+    ``found`` are the texts' shingles, text i's from ``edges[i]`` on. For each
+    value every shingle draws r, c ~ Gamma(2, 1) and b ~ U(0, 1) from its hash,
+    t = floor(ln w / r + b), ln a = ln c - r (t - b + 1); the value is that of the
+    shingle and t with the least a. As ln a is ln c - r - ln w at least, only
+    shingles where that is below ``sure`` over the text's weight are drawn in full; a
+    text whose least a is not below it is drawn again without that bound. Texts
+    without shingles have zeros.
     """
+    n = len(edges) - 1
+    value = np.zeros((VALUES, n), np.uint64)
     if not len(found):
-        return np.zeros(VALUES, np.uint64)
-    gamma, ln_gamma = _gamma()
-    seeds = hashing.mixed(np.arange(1, VALUES + 1, dtype=np.uint64) * np.uint64(hashing.GOLDEN))[:, None]
-    best = np.full(VALUES, np.inf, np.float32)
-    value = np.zeros(VALUES, np.uint64)
-    step = max(1, CHUNK // VALUES)
-    for low in range(0, len(found), step):
-        x = found[None, low : low + step]
-        ln_w = np.log(weights[low : low + step], dtype=np.float32)[None]
-        z = hashing.mixed(x ^ seeds)
-        r = gamma[(z & np.uint64(0xFFFF)).astype(np.intp)]
-        ln_c = ln_gamma[((z >> np.uint64(16)) & np.uint64(0xFFFF)).astype(np.intp)]
-        b = (z >> np.uint64(32)).astype(np.float32) * np.float32(2.0**-32)
-        t = np.floor(ln_w / r + b)
-        ln_a = ln_c - r * (t - b + 1)
-        at = ln_a.argmin(axis=1)
-        rows = np.arange(VALUES)
-        least = ln_a[rows, at]
-        better = least < best
-        drawn = hashing.mixed(x[0, at] + t[rows, at].astype(np.int64).astype(np.uint64) * np.uint64(hashing.GOLDEN))
-        best = np.where(better, least, best)
-        value = np.where(better, drawn, value)
-    return value
+        return value.T
+    owner = np.repeat(np.arange(n), np.diff(edges))
+    all_r, all_ln_c, least_ln_a = _pairs()
+    total = np.bincount(owner, weights, minlength=n)
+    bound = np.log(np.divide(sure, total, out=np.ones(n), where=total > 0)).astype(np.float32)
+    ln_w = np.log(weights, dtype=np.float32)
+    cut = bound[owner] + ln_w
+    places, states, rest = [], [], []
+    for k in range(VALUES):
+        z = found * SEEDS[k]
+        state = (z >> np.uint64(48)).view(np.int64)
+        at = np.flatnonzero(least_ln_a[state] <= cut)
+        places.append(at)
+        states.append(state[at])
+        rest.append((z[at] >> np.uint64(16)).view(np.int64) & 0xFFFF)
+    at, state = np.concatenate(places), np.concatenate(states)
+    if len(at):
+        b = np.concatenate(rest).astype(np.float32) * np.float32(2.0**-16)
+        key = np.repeat(np.arange(VALUES) * n, [len(p) for p in places]) + owner[at]
+        r = all_r[state]
+        t = np.floor(ln_w[at] / r + b)
+        ln_a = all_ln_c[state] - r * (t - b + 1)
+        starts = np.flatnonzero(np.diff(key, prepend=-1))
+        run = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(key))))
+        least = np.minimum.reduceat(ln_a, starts)
+        best = np.flatnonzero(ln_a == least[run])
+        best = best[np.flatnonzero(np.diff(run[best], prepend=-1))]  # of equal ones the least hash
+        times = t[best].astype(np.int64).astype(np.uint64)
+        drawn = hashing.mixed(found[at[best]] + times * np.uint64(hashing.GOLDEN))
+        here = least <= bound[key[starts] % n]
+        value.reshape(-1)[key[starts][here]] = drawn[here]
+    if sure < np.inf:
+        for i in np.flatnonzero((value == 0).any(axis=0) & (total > 0)):
+            own = slice(edges[i], edges[i + 1])
+            value[:, i] = signatures(found[own], np.array([0, own.stop - own.start]), weights[own], np.inf)[0]
+    return value.T.copy()
+
+
+def signature(found: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """The signature of one text."""
+    return signatures(found, np.array([0, len(found)]), weights)[0]
 
 
 def _signed(batch: pa.RecordBatch, idf: np.ndarray) -> pa.RecordBatch:
@@ -126,18 +197,26 @@ def _signed(batch: pa.RecordBatch, idf: np.ndarray) -> pa.RecordBatch:
 
     Of a text without repeats the one signature is both. Set weights lie within 1
     and 1 + damping, so sets of plain similarity 0.8 have a weighted one of
-    0.8 / (0.8 + 0.2 * 1.25) = 0.76 at least.
+    0.8 / (0.8 + 0.2 * 1.25) = 0.76 at least. Equal texts of a batch are signed once.
     """
-    signatures = []
-    for text in batch.column("text"):
-        found, times = shingles(text.as_py())
+    digests = batch.column("digest").to_pylist()
+    place = {d: i for i, d in reversed(list(enumerate(digests)))}
+    once = sorted(place.values())
+    number = {i: k for k, i in enumerate(once)}
+    drawn: list[np.ndarray] = []
+    for texts in _chunks(batch.column("text").take(pa.array(once, pa.int64()))):
+        found, times, edges = shingle_bags(texts)
         weights = idf[_cells(found)]
-        drawn = signature(found, times * weights)
-        if times.max(initial=1) > 1:
-            drawn = np.concatenate([drawn, signature(found, weights)])
-        signatures.append(drawn.view(np.int64))
-    flat = np.concatenate(signatures) if signatures else np.empty(0, np.int64)
-    offsets = np.cumsum([0, *map(len, signatures)], dtype=np.int32)
+        owner = np.repeat(np.arange(len(texts)), np.diff(edges))
+        again = np.bincount(owner, times > 1, minlength=len(texts)) > 0
+        bags = signatures(found, edges, weights * times.astype(np.float32))
+        own, two = again[owner], np.flatnonzero(again)
+        sets = signatures(found[own], np.append(0, np.cumsum(np.diff(edges)[two])), weights[own])
+        place_of = dict(zip(two.tolist(), sets, strict=True))
+        drawn += [np.concatenate([b, place_of[i]]) if i in place_of else b for i, b in enumerate(bags)]
+    mine = [drawn[number[place[d]]].view(np.int64) for d in digests]
+    offsets = np.cumsum([0, *map(len, mine)], dtype=np.int32)
+    flat = np.concatenate(mine) if mine else np.empty(0, np.int64)
     return columns(
         doc_id=batch.column("doc_id"), digest=batch.column("digest"),
         sig=pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)),
@@ -190,7 +269,7 @@ def _canopies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _families(texts: DataFrame) -> DataFrame:
-    """``digest, label``: blocks of texts outside of which no text has a near duplicate."""
+    """``digest, label``: blocks of texts of texts that share buckets and are like their pivots there."""
     bag, shingle_set = (
         F.array(*(
             F.xxhash64(F.lit(i), *(F.get("sig", F.lit(low + i * BAND + j)) for j in range(BAND)))
@@ -203,29 +282,44 @@ def _families(texts: DataFrame) -> DataFrame:
     keys = texts.select("digest", F.explode(bands).alias("bucket"))
     crowded = keys.groupBy("bucket").count().where("count > 1")
     members = keys.join(crowded, "bucket")
-    links = None
-    while True:
-        parts = F.ceil(F.col("count") / BLOCK)
-        dealt = members.join(texts.select("digest", "sig"), "digest").withColumn(
-            "part", F.pmod(F.xxhash64("digest", F.lit(7)), parts)
-        )
-        n = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        found = (
-            dealt.select("bucket", "part", "digest", "sig").repartition(n, "bucket", "part")
-            .sortWithinPartitions("bucket", "part", "digest")
+    n = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def compared(dealt: DataFrame) -> DataFrame:
+        """Links within the parts of buckets."""
+        return (
+            dealt.join(texts.select("digest", "sig"), "digest").select("bucket", "part", "digest", "sig")
+            .repartition(n, "bucket", "part").sortWithinPartitions("bucket", "part", "digest")
             .mapInArrow(_canopies, "bucket long, a string, b string").checkpoint()
         )
-        links = found if links is None else links.union(found)
-        # of a bucket in several parts, the pivots meet again
-        pivots = found.select("bucket", F.col("a").alias("digest")).distinct()
-        again = members.where(F.col("count") > BLOCK).select("bucket", "count").distinct()
-        members = pivots.join(again, "bucket").drop("count")
-        sizes = members.groupBy("bucket").count()
-        smaller = sizes.join(again.withColumnRenamed("count", "were"), "bucket").where("count < were")
-        members = members.join(smaller.drop("were"), "bucket").checkpoint()
+
+    parts = F.ceil(F.col("count") / BLOCK).cast("int")
+    links, round_number = [], 0
+    while True:
+        part = F.pmod(F.xxhash64("digest", F.lit(round_number)), parts).cast("long")
+        found = compared(members.withColumn("part", part))
+        links.append(found.select("a", "b"))
+        # of a bucket in several parts, the pivots meet again, dealt in another way
+        again = members.where(F.col("count") > BLOCK).select("bucket", F.col("count").alias("were")).distinct()
+        pivots = found.select("bucket", F.col("a").alias("digest")).distinct().join(again, "bucket").checkpoint()
+        sizes = pivots.groupBy("bucket").count().where("count > 1")
+        members = pivots.join(sizes, "bucket").checkpoint()
+        # where they hardly get fewer, every part meets every other one
+        stuck = members.where(F.col("count") * 4 > F.col("were") * 3).drop("were")
+        if not stuck.isEmpty():
+            mine = F.pmod(F.xxhash64("digest", F.lit(-1)), parts).cast("long")
+            pairs = F.transform(
+                F.filter(F.sequence(F.lit(0), parts - 1), lambda k: (k != mine) | (parts == 1)),
+                lambda k: F.least(k, mine) * parts + F.greatest(k, mine),
+            )
+            links.append(compared(stuck.withColumn("part", F.explode(pairs))).select("a", "b"))
+        members = members.where(F.col("count") * 4 <= F.col("were") * 3).drop("were").checkpoint()
         if members.isEmpty():
             break
-    return components(links.select("a", "b"))
+        round_number += 1
+    whole = links[0]
+    for more in links[1:]:
+        whole = whole.unionAll(more)
+    return components(whole)
 
 
 class _Union:
@@ -242,21 +336,20 @@ class _Union:
 def linked(texts: list[str], sides: list[int], across: bool, idf: np.ndarray) -> list[tuple[int, int]]:
     """Links that join what pairs of similarity ``THRESHOLD`` or more join, no pair twice.
 
-    ``across``: only pairs with one text of either side. A pair that reaches the
+    ``across``: only pairs with a text of side 0. A pair that reaches the
     threshold, weighted or plain, shares a shingle among the rarest of either text
     that make up more than the rest of its weight or of its number of shingles;
     only such pairs are compared, and of those no pair that links already join.
     """
-    bags = [shingles(t) for t in texts]
-    flat = np.concatenate([b[0] for b in bags])
-    owner = np.repeat(np.arange(len(bags)), [len(b[0]) for b in bags])
-    weights = np.concatenate([b[1] for b in bags]) * idf[_cells(flat)].astype(np.float64)
-    totals = np.bincount(owner, weights, minlength=len(bags))
+    flat, often, edges = shingle_bags([(t or "").encode("utf-8", "surrogatepass") for t in texts])
+    owner = np.repeat(np.arange(len(texts)), np.diff(edges))
+    weights = often * idf[_cells(flat)].astype(np.float64)
+    totals = np.bincount(owner, weights, minlength=len(texts))
     _, token, times = np.unique(flat, return_inverse=True, return_counts=True)
     order = np.lexsort((token, times[token], owner))
     token, owner, weights, times = token[order], owner[order], weights[order], times[token[order]]
-    starts = np.searchsorted(owner, np.arange(len(bags) + 1))
-    union, postings, links = _Union(len(bags)), {}, []
+    starts = np.searchsorted(owner, np.arange(len(texts) + 1))
+    union, postings, links = _Union(len(texts)), {}, []
     full = np.zeros(len(times) and int(token.max()) + 1)
     for d in np.argsort(totals, kind="stable"):
         low, high = starts[d], starts[d + 1]
@@ -275,7 +368,7 @@ def linked(texts: list[str], sides: list[int], across: bool, idf: np.ndarray) ->
         if seen:
             full[mine] = w
             for c in sorted(seen):
-                if across and sides[c] == sides[d]:
+                if across and sides[c] and sides[d]:
                     continue
                 few, many = sorted((starts[c + 1] - starts[c], high - low))
                 if totals[c] < THRESHOLD * totals[d] - 1e-6 and few < THRESHOLD * many - 1e-6:
@@ -297,26 +390,82 @@ def linked(texts: list[str], sides: list[int], across: bool, idf: np.ndarray) ->
     return links
 
 
-def _verified(batches: Iterator[pa.RecordBatch], idf: np.ndarray) -> Iterator[pa.RecordBatch]:
+def _verified(batches: Iterator[pa.RecordBatch], idf: np.ndarray, across: bool) -> Iterator[pa.RecordBatch]:
     for group in _groups(batches, ["label", "i", "j"]):
-        once = {d: k for k, d in enumerate(group["digest"])}  # repeated rows are one text
+        once: dict[str, int] = {}  # repeated rows are one text, on side 0 if it is on both
+        for k, d in enumerate(group["digest"]):
+            if d not in once or group["side"][k] < group["side"][once[d]]:
+                once[d] = k
         keep = sorted(once.values())
-        texts = [group["text"][k] for k in keep]
         digests = [group["digest"][k] for k in keep]
-        sides = [group["part"][k] for k in keep]
-        found = linked(texts, sides, group["i"][0] != group["j"][0], idf)
+        found = linked([group["text"][k] for k in keep], [group["side"][k] for k in keep], across, idf)
         yield columns(
             a=pa.array([digests[c] for c, _ in found], pa.string()),
             b=pa.array([digests[d] for _, d in found], pa.string()),
         )
 
 
+def _links(source: DataFrame, families: DataFrame, texts: DataFrame, idf: np.ndarray) -> DataFrame:
+    """Verified links ``a, b`` that join what alike texts of a family join.
+
+    A family over ``BLOCK`` texts is dealt into parts, and the text it is named by, its
+    pivot, is in each. Texts that this leaves apart from the pivot, then, meet all
+    parts. So a family of near copies of one text is sent once, whatever its size.
+    """
+    spark = source.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    sizes = families.groupBy("label").count()
+    parts = F.ceil(F.col("count") / BLOCK).cast("int")
+    members = families.join(sizes, "label").select(
+        F.col("node").alias("digest"), "label", parts.alias("parts"),
+        F.pmod(F.xxhash64("node", F.lit(11)), parts).cast("int").alias("part"),
+    ).join(texts.select("digest", "rep"), "digest").checkpoint()
+
+    def compared(rows: DataFrame, across: bool) -> DataFrame:
+        """``rows``: members with ``places``, an array of (i, j, side)."""
+        own = (source["digest"] == rows["digest"]) & source["doc_id"].eqNullSafe(rows["rep"])
+        return (
+            source.join(rows, own).select(source["digest"], "text", "label", F.explode("places").alias("to"))
+            .select("label", "to.i", "to.j", "to.side", "digest", "text")
+            .repartition(n, "label", "i", "j").sortWithinPartitions("label", "i", "j", "digest")
+            .mapInArrow(partial(_verified, idf=idf, across=across), "a string, b string").checkpoint()
+        )
+
+    def place(i, j, side: int):
+        return F.struct(i.alias("i"), j.alias("j"), F.lit(side).alias("side"))
+
+    zero = F.lit(0)
+    pivot = F.transform(F.sequence(zero, F.col("parts") - 1), lambda k: place(zero, k, 0))
+    found = compared(members.withColumn(
+        "places", F.when(F.col("digest") == F.col("label"), pivot).otherwise(F.array(place(zero, F.col("part"), 0)))
+    ), across=False)
+    large = members.where("parts > 1")
+    if large.isEmpty():
+        return found
+    classes = components(found)
+    known = large.join(classes.select(F.col("node").alias("digest"), F.col("label").alias("class")), "digest", "left").select(
+        "digest", "label", "parts", "part", "rep", F.coalesce("class", "digest").alias("class")
+    ).checkpoint()
+    named = known.where("digest = label").select("label", F.col("class").alias("named"))
+    left = known.join(named, "label").where("class <> named")
+    counts = left.groupBy("label").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("left_parts")).checkpoint()
+    if counts.isEmpty():
+        return found
+    block = F.pmod(F.xxhash64("digest", F.lit(13)), F.col("left_parts")).cast("int")
+    apart = F.transform(F.sequence(zero, F.col("parts") - 1), lambda k: place(block, k, 0))
+    rest = F.transform(F.sequence(zero, F.col("left_parts") - 1), lambda k: place(k, F.col("part"), 1))
+    rows = known.join(named, "label").join(counts, "label").withColumn(
+        "places", F.when(F.col("class") != F.col("named"), F.concat(apart, rest)).otherwise(rest)
+    )
+    return found.unionAll(compared(rows.select("digest", "rep", "label", "places"), across=True))
+
+
 def _digest(text: str):
     return F.md5(F.coalesce(F.col(text), F.lit("")))
 
 
 def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id, digest, class, class_id, n_copies, n_texts, n_links`` for every row.
+    """``doc_id, digest, class, class_id, n_copies, n_texts`` for every row.
 
     ``class`` is a digest that names the class, ``class_id`` is the least doc_id of the class, ``n_copies`` the rows with the
     same text, ``n_texts`` the different texts of the class. Two texts are linked
@@ -327,9 +476,10 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     class with none else has a null ``class_id``; repeated rows are copies; other
     columns are not looked at; an empty table gives no rows.
 
-    Whole texts are shingled twice, for frequencies and for signatures; only texts
-    of families are shuffled, once, or for a family over 800 texts as often as it
-    has blocks.
+    Whole texts, very long ones too, are shingled twice, for frequencies and for
+    signatures. Texts are shuffled once to meet their families and those of families once
+    more; of a family over 800 texts, those that are not like its pivot, in several
+    steps, are sent as often as it has parts.
     """
     spark = docs.sparkSession
     ensure_checkpoint_dir(spark)
@@ -344,40 +494,18 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     texts = signed.groupBy("digest").agg(
         F.min("doc_id").alias("rep"), F.count("*").alias("n_copies"), F.first("sig").alias("sig")
     )
-    labels = _families(texts)
-    sizes = labels.groupBy("label").count()
-    blocks = F.ceil(F.col("count") / BLOCK).cast("int")
-    members = labels.join(sizes, "label").select(
-        F.col("node").alias("digest"), "label", blocks.alias("blocks"),
-        F.pmod(F.xxhash64("node", F.lit(11)), blocks).cast("int").alias("part"),
-    ).join(texts.select("digest", "rep"), "digest")
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    pairs = F.transform(
-        F.sequence(F.lit(0), F.col("blocks") - 1),
-        lambda k: F.struct(F.least(k, "part").alias("i"), F.greatest(k, "part").alias("j")),
-    )
-    own = (source["digest"] == members["digest"]) & source["doc_id"].eqNullSafe(members["rep"])
-    found = (
-        source.join(members, own)
-        .select(source["digest"], "text", "label", "part", F.explode(pairs).alias("pair"))
-        .select("label", "pair.i", "pair.j", "part", "digest", "text")
-        .repartition(n, "label", "i", "j").sortWithinPartitions("label", "i", "j", "digest")
-        .mapInArrow(partial(_verified, idf=idf), "a string, b string").checkpoint()
-    )
+    families = _families(texts).checkpoint()
+    free(spark)
+    found = _links(source, families, texts, idf)
+    free(spark)
     classes = components(found).withColumnsRenamed({"node": "digest", "label": "class"})
-    degree = found.select(F.explode(F.array("a", "b")).alias("digest")).groupBy("digest").agg(
-        F.count("*").alias("n_links")
-    )
-    placed = texts.drop("sig").join(classes, "digest", "left").join(degree, "digest", "left").select(
-        "digest", "rep", "n_copies", F.coalesce("class", "digest").alias("class"),
-        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
+    placed = texts.drop("sig").join(classes, "digest", "left").select(
+        "digest", "rep", "n_copies", F.coalesce("class", "digest").alias("class")
     )
     heads = placed.groupBy("class").agg(F.min("rep").alias("class_id"), F.count("*").alias("n_texts"))
-    verdicts = placed.join(heads, "class").select(
-        "digest", "class", "class_id", "n_copies", "n_texts", "n_links"
-    )
+    verdicts = placed.join(heads, "class").select("digest", "class", "class_id", "n_copies", "n_texts")
     return signed.select("doc_id", "digest").join(verdicts, "digest").select(
-        "doc_id", "digest", "class", "class_id", "n_copies", "n_texts", "n_links"
+        "doc_id", "digest", "class", "class_id", "n_copies", "n_texts"
     )
 
 
@@ -400,4 +528,4 @@ def deduplicated(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text")
 
 def op10_near_duplicates(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return near_duplicates(docs).select("doc_id", "class_id", "n_copies", "n_texts", "n_links")
+    return near_duplicates(docs).select("doc_id", "class_id", "n_copies", "n_texts")
