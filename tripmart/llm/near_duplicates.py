@@ -106,9 +106,9 @@ def idf_table(docs: DataFrame) -> np.ndarray:
     """
     importable(docs.sparkSession)
     counted = docs.select("text").mapInArrow(_frequencies, "cell long, n long")
-    rows = counted.groupBy("cell").agg(F.sum("n").alias("n")).toPandas()  # one row a cell
+    rows = counted.groupBy("cell").agg(F.sum("n").alias("n")).toArrow()  # one row a cell
     df = np.zeros(IDF_CELLS)
-    df[rows["cell"].to_numpy(np.int64)] = rows["n"]
+    df[rows["cell"].to_numpy()] = rows["n"].to_numpy()
     n = max(docs.count(), 1)
     return (1 + IDF_DAMPING * np.clip(np.log((1 + n) / (1 + df)), 0, None) / np.log(1 + n)).astype(np.float32)
 
@@ -293,28 +293,25 @@ def _families(texts: DataFrame) -> DataFrame:
         )
 
     parts = F.ceil(F.col("count") / BLOCK).cast("int")
-    links, round_number = [], 0
-    while True:
+    links, round_number, crowds = [], 0, True
+    while crowds:
         part = F.pmod(F.xxhash64("digest", F.lit(round_number)), parts).cast("long")
         found = compared(members.withColumn("part", part))
         links.append(found.select("a", "b"))
         # of a bucket in several parts, the pivots meet again, dealt in another way
         again = members.where(F.col("count") > BLOCK).select("bucket", F.col("count").alias("were")).distinct()
-        pivots = found.select("bucket", F.col("a").alias("digest")).distinct().join(again, "bucket").checkpoint()
+        pivots = found.select("bucket", F.col("a").alias("digest")).distinct().join(again, "bucket")
         sizes = pivots.groupBy("bucket").count().where("count > 1")
-        members = pivots.join(sizes, "bucket").checkpoint()
-        # where they hardly get fewer, every part meets every other one
-        stuck = members.where(F.col("count") * 4 > F.col("were") * 3).drop("were")
-        if not stuck.isEmpty():
+        pivots = pivots.join(sizes, "bucket").withColumn("stuck", F.col("count") * 4 > F.col("were") * 3).checkpoint()
+        crowds, stuck = pivots.agg(F.count_if(~F.col("stuck")), F.count_if("stuck")).first()
+        if stuck:  # where they hardly get fewer, every part meets every other one
             mine = F.pmod(F.xxhash64("digest", F.lit(-1)), parts).cast("long")
             pairs = F.transform(
                 F.filter(F.sequence(F.lit(0), parts - 1), lambda k: (k != mine) | (parts == 1)),
                 lambda k: F.least(k, mine) * parts + F.greatest(k, mine),
             )
-            links.append(compared(stuck.withColumn("part", F.explode(pairs))).select("a", "b"))
-        members = members.where(F.col("count") * 4 <= F.col("were") * 3).drop("were").checkpoint()
-        if members.isEmpty():
-            break
+            links.append(compared(pivots.where("stuck").withColumn("part", F.explode(pairs))).select("a", "b"))
+        members = pivots.where("NOT stuck").select("bucket", "digest", "count")
         round_number += 1
     whole = links[0]
     for more in links[1:]:
@@ -391,6 +388,7 @@ def linked(texts: list[str], sides: list[int], across: bool, idf: np.ndarray) ->
 
 
 def _verified(batches: Iterator[pa.RecordBatch], idf: np.ndarray, across: bool) -> Iterator[pa.RecordBatch]:
+    """Links ``a, b`` within groups, and a row without ``b`` for each text they leave apart from the pivot."""
     for group in _groups(batches, ["label", "i", "j"]):
         once: dict[str, int] = {}  # repeated rows are one text, on side 0 if it is on both
         for k, d in enumerate(group["digest"]):
@@ -399,9 +397,16 @@ def _verified(batches: Iterator[pa.RecordBatch], idf: np.ndarray, across: bool)
         keep = sorted(once.values())
         digests = [group["digest"][k] for k in keep]
         found = linked([group["text"][k] for k in keep], [group["side"][k] for k in keep], across, idf)
+        apart = []
+        if not across and group["label"][0] in once:
+            union = _Union(len(keep))
+            for c, d in found:
+                union.parent[union.root(c)] = union.root(d)
+            pivot = union.root(digests.index(group["label"][0]))
+            apart = [d for k, d in enumerate(digests) if union.root(k) != pivot]
         yield columns(
-            a=pa.array([digests[c] for c, _ in found], pa.string()),
-            b=pa.array([digests[d] for _, d in found], pa.string()),
+            a=pa.array([digests[c] for c, _ in found] + apart, pa.string()),
+            b=pa.array([digests[d] for _, d in found] + [None] * len(apart), pa.string()),
         )
 
 
@@ -439,25 +444,21 @@ def _links(source: DataFrame, families: DataFrame, texts: DataFrame, idf: np.nda
     found = compared(members.withColumn(
         "places", F.when(F.col("digest") == F.col("label"), pivot).otherwise(F.array(place(zero, F.col("part"), 0)))
     ), across=False)
-    large = members.where("parts > 1")
-    if large.isEmpty():
-        return found
-    classes = components(found)
-    known = large.join(classes.select(F.col("node").alias("digest"), F.col("label").alias("class")), "digest", "left").select(
-        "digest", "label", "parts", "part", "rep", F.coalesce("class", "digest").alias("class")
-    ).checkpoint()
-    named = known.where("digest = label").select("label", F.col("class").alias("named"))
-    left = known.join(named, "label").where("class <> named")
+    links = found.where("b IS NOT NULL")
+    known = members.where("parts > 1").join(
+        found.where("b IS NULL").select(F.col("a").alias("digest"), F.lit(True).alias("apart")), "digest", "left"
+    ).withColumn("apart", F.coalesce("apart", F.lit(False)))
+    left = known.where("apart")
     counts = left.groupBy("label").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("left_parts")).checkpoint()
-    if counts.isEmpty():
-        return found
+    if not counts.count():
+        return links
     block = F.pmod(F.xxhash64("digest", F.lit(13)), F.col("left_parts")).cast("int")
-    apart = F.transform(F.sequence(zero, F.col("parts") - 1), lambda k: place(block, k, 0))
+    all_parts = F.transform(F.sequence(zero, F.col("parts") - 1), lambda k: place(block, k, 0))
     rest = F.transform(F.sequence(zero, F.col("left_parts") - 1), lambda k: place(k, F.col("part"), 1))
-    rows = known.join(named, "label").join(counts, "label").withColumn(
-        "places", F.when(F.col("class") != F.col("named"), F.concat(apart, rest)).otherwise(rest)
+    rows = known.join(counts, "label").withColumn(
+        "places", F.when(F.col("apart"), F.concat(all_parts, rest)).otherwise(rest)
     )
-    return found.unionAll(compared(rows.select("digest", "rep", "label", "places"), across=True))
+    return links.unionAll(compared(rows.select("digest", "rep", "label", "places"), across=True))
 
 
 def _digest(text: str):
