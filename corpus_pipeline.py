@@ -16,6 +16,7 @@ from tripmart.llm.mixing import mixed
 from tripmart.llm.near_duplicates import deduplicated
 from tripmart.llm.substrings import without_repeats
 from tripmart.llm.toxicity import without_toxic
+from tripmart.llm.workers import free
 from tripmart.storage import ensure_checkpoint_dir
 
 VOCABULARY = "word_bpe_49k.json"
@@ -62,9 +63,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages; what a stage keeps is checkpointed before the next reads it."""
+    """All stages; what a stage keeps is checkpointed before the next reads it, its shuffle files are freed."""
     ensure_checkpoint_dir(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for _, stage in STAGES[:-1]:
         docs = stage(spark, docs, sf_dir).checkpoint()
+        free(spark)
     return STAGES[-1][1](spark, docs, sf_dir)
