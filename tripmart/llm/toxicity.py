@@ -1,31 +1,40 @@
 """Toxicity by the nearest labelled examples.
 
-Examples and documents are TF-IDF vectors over the terms that tell the labels
-apart. A block-max inverted index of the examples finds the k nearest by exact
+Examples and documents are TF-IDF vectors over all words of the examples, the more
+telling of the label the heavier. A block-max inverted index of the examples finds the k nearest by exact
 cosine: blocks whose bound cannot reach the k-th best are never opened. Votes
-weighted by closeness give the score, the nearest examples are the evidence.
+weighted by closeness, calibrated on examples that vote without themselves, give
+the score, the nearest examples are the evidence.
 """
 
 from __future__ import annotations
 
-from collections import Counter
-from dataclasses import dataclass
+from array import array
+from collections.abc import Iterator
+from dataclasses import dataclass, field
 from functools import partial
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripmart.llm.licenses import words_of
-from tripmart.llm.workers import columns, map_batches, texts
+from tripmart.llm.lexical import BLANKS, END
+from tripmart.llm.workers import columns, importable, map_batches
 from tripmart.storage import ensure_checkpoint_dir
 
 THRESHOLD = 0.3
-#: Beside whole words, their first letters are terms, so that forms of a word are alike.
+#: Beside whole words, their first letters are terms where these tell the labels apart.
 BEGINNINGS = (4, 5, 6)
-WORD_PATTERN = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+#: Weight of a term that tells nothing, against one whose chi-square is ``TELLING`` or more.
+PLAIN, TELLING = 0.1, 20.0
+#: A vote at the overall rate, so that far neighbours alone say little.
+REST = 0.01
+CHUNK = 500_000
+#: Vectors of a block of the index.
+PER_BLOCK = 64
+HELD_WORDS = 200_000
 
 
 def held_out(doc_id: Column) -> Column:
@@ -33,143 +42,265 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 4 == 2, F.lit(False))
 
 
+def _ranges(low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """The numbers from each ``low`` to its ``high``, end to end."""
+    n = high - low
+    return np.arange(n.sum()) + np.repeat(low - np.cumsum(n) + n, n)
+
+
 @dataclass
 class BlockMaxIndex:
-    """Postings of unit vectors by word and block, with the largest weight of each.
+    """Postings of unit vectors by term, in runs of one block each, with the run's largest weight.
 
-    ``ids`` and ``weights`` are the postings in order of word, then vector;
-    ``at[w, b]`` to ``at[w, b + 1]`` are those of word w in block b.
+    ``ids`` and ``weights`` are the postings in order of term, then vector. The runs
+    of term t are ``first[t]`` to ``first[t + 1]``; run r lies in block ``block[r]``, its
+    postings from ``at[r]`` to ``at[r + 1]``.
     """
 
-    block: int
+    size: int
+    blocks: int
     ids: np.ndarray
     weights: np.ndarray
+    first: np.ndarray
+    block: np.ndarray
     at: np.ndarray
     largest: np.ndarray
-    size: int
 
     @classmethod
-    def of(cls, vectors: np.ndarray, block: int = 64) -> BlockMaxIndex:
-        size, words = vectors.shape
-        blocks = max(1, -(-size // block))
-        word, ids = np.nonzero(vectors.T)
-        edges = np.arange(words)[:, None] * size + np.minimum(np.arange(blocks + 1) * block, size)
-        at = np.searchsorted(word * size + ids, edges)
-        padded = np.zeros((blocks * block, words))
-        padded[:size] = vectors
-        largest = padded.reshape(blocks, block, words).max(axis=1).T.copy()
-        return cls(block, ids, vectors[ids, word], at, largest, size)
-
-    def nearest(self, words: np.ndarray, weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """The k vectors of largest positive cosine and those, ties to the lower number."""
-        bounds = weights @ self.largest[words]
-        found_ids, found = np.empty(0, np.int64), np.empty(0)
-        for b in np.argsort(-bounds, kind="stable"):
-            if bounds[b] <= 0 or len(found) == k and bounds[b] < found[-1] - 1e-12:
+    def of(cls, vector: np.ndarray, term: np.ndarray, weight: np.ndarray, size: int, terms: int):
+        order = np.lexsort((vector, term))
+        vector, term, weight = vector[order], term[order], weight[order].astype(np.float64)
+        block = vector // PER_BLOCK
+        new = np.ones(len(term), bool)
+        new[1:] = (term[1:] != term[:-1]) | (block[1:] != block[:-1])
+        at = np.flatnonzero(new)
+        first = np.searchsorted(term[at], np.arange(terms + 1))
+        largest = np.maximum.reduceat(weight, at) if len(at) else np.empty(0)
+        return cls(size, -(-size // PER_BLOCK), vector.astype(np.int32), weight, first, block[at],
+                   np.append(at, len(term)), largest)
+
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k not in ("row", "rows", "per_block")}
+
+    def _long(self) -> None:
+        """Lists of more than a sixteenth of the vectors as rows of all vectors, filled with zeros."""
+        starts = self.at[self.first]
+        n = np.diff(starts)
+        self.per_block = PER_BLOCK
+        long = np.flatnonzero(n * 16 > self.size)
+        self.row = np.full(len(n), -1)
+        self.row[long] = np.arange(len(long))
+        self.rows = np.zeros((len(long), self.blocks * self.per_block), np.float32)
+        for i, t in enumerate(long.tolist()):
+            own = slice(starts[t], starts[t + 1])
+            self.rows[i, self.ids[own]] = self.weights[own]
+
+    def nearest(
+        self, terms: np.ndarray, weights: np.ndarray, k: int, without: int = -1, opened: list | None = None
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """The k vectors of largest positive cosine and those, ties to the lower number; ``without`` takes no part.
+
+        Long lists are added up for all vectors. What they give bounds a block together with
+        the largest weights of its runs; runs of blocks that cannot reach the k-th best stay shut.
+        """
+        if not self.size:
+            return np.empty(0, np.int64), np.empty(0)
+        if not hasattr(self, "rows"):
+            self._long()
+        row = self.row[terms]
+        scores = (weights[row >= 0].astype(np.float32) @ self.rows[row[row >= 0]]).astype(np.float64)
+        terms, weights = terms[row < 0], weights[row < 0]
+        n = self.first[terms + 1] - self.first[terms]
+        runs, weight = _ranges(self.first[terms], self.first[terms + 1]), np.repeat(weights, n)
+        block = self.block[runs]
+        if without >= 0:
+            scores[without] = 0
+        bounds = scores.reshape(self.blocks, self.per_block).max(axis=1)
+        bounds += np.bincount(block, weight * self.largest[runs], minlength=self.blocks)
+        # the most promising blocks give a cutoff, then all others that can reach it are opened
+        some = np.zeros(self.blocks, bool)
+        some[np.argsort(-bounds, kind="stable")[: max(2, -(-2 * k // self.per_block))]] = True
+        cutoff, done = 0.0, np.zeros(self.blocks, bool)
+        for _ in range(2):
+            here = (some & ~done)[block]
+            own = runs[here]
+            n = self.at[own + 1] - self.at[own]
+            places = _ranges(self.at[own], self.at[own + 1])
+            scores += np.bincount(
+                self.ids[places], self.weights[places] * np.repeat(weight[here], n), minlength=len(scores)
+            )
+            if without >= 0:
+                scores[without] = 0
+            done |= some
+            whole = scores.reshape(self.blocks, -1)[done].reshape(-1)
+            if len(whole) > k:
+                cutoff = np.partition(whole, len(whole) - k)[len(whole) - k]
+            some = (bounds >= cutoff - 1e-6) & (bounds > 0)
+            if not (some & ~done).any():
                 break
-            scores = np.zeros(self.block)
-            for w, weight in zip(words, weights, strict=True):
-                low, high = self.at[w, b], self.at[w, b + 1]
-                scores[self.ids[low:high] - b * self.block] += weight * self.weights[low:high]
-            some = np.flatnonzero(scores)
-            found_ids = np.concatenate([found_ids, some + b * self.block])
-            found = np.concatenate([found, scores[some]])
-            best = np.lexsort((found_ids, -found))[:k]
-            found_ids, found = found_ids[best], found[best]
-        return found_ids, found
+        if opened is not None:
+            opened.append(int(done.sum()))
+        scores.reshape(self.blocks, -1)[~done] = 0
+        best = np.flatnonzero(scores >= max(cutoff, 1e-300))
+        best = best[np.lexsort((best, -scores[best]))][:k]
+        return best, scores[best]
+
+
+class Terms(dict):
+    """Numbers of the words seen; ``table`` has for each its term and those of its beginnings, or -1.
+
+    Number 0 ends a text, 1 is any word without terms. Emptied when it is full.
+    """
+
+    def __init__(self, words: dict[bytes, int], beginnings: dict[str, int]) -> None:
+        super().__init__()
+        self.words, self.beginnings, self.size = words, beginnings, len(words) + len(beginnings)
+        self.lengths = sorted({len(b) for b in beginnings})
+        self._begin()
+
+    def _begin(self) -> None:
+        self.clear()
+        self[END] = 0
+        self.table = array("q", [-1] * 2 * (1 + len(self.lengths)))
+
+    def __missing__(self, word: bytes) -> int:
+        text = word.decode("utf-8", "surrogatepass")
+        own = (self.words.get(word, -1), *(
+            self.beginnings.get(text[:n], -1) if len(text) > n else -1 for n in self.lengths
+        ))
+        number = 1
+        if any(t >= 0 for t in own):
+            number = len(self.table) // len(own)
+            self.table.extend(own)
+        self[word] = number
+        return number
+
+    def counts(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Terms of each text, ascending, how often each occurs, and where each text's begin."""
+        if len(self) > HELD_WORDS:
+            self._begin()
+        found = (b" " + END + b" ").join([*(t.lower().translate(BLANKS) for t in texts), b""]).split()
+        number = np.fromiter(map(self.__getitem__, found), np.int64, len(found))
+        table, text = np.array(self.table).reshape(-1, 1 + len(self.lengths)), np.cumsum(number == 0)
+        some = number > 1
+        terms = table[number[some]]
+        texts_of = np.repeat(text[some], terms.shape[1]).reshape(terms.shape)
+        known = terms >= 0
+        keys, times = np.unique(texts_of[known] * self.size + terms[known], return_counts=True)
+        edges = np.searchsorted(keys, np.arange(len(texts) + 1) * self.size)
+        return keys % max(self.size, 1), times, edges
 
 
 @dataclass
 class Model:
-    """Vocabulary, idf, index, and of each vector the weight of toxic and of all its examples."""
+    """Terms and their weights, the index, labels and weights of its examples, and the calibration."""
 
-    words: Terms
-    idf: np.ndarray
+    words: list[bytes]
+    beginnings: list[str]
+    weight: np.ndarray
     index: BlockMaxIndex
-    toxic: np.ndarray
-    total: np.ndarray
-    example_id: np.ndarray
+    label: np.ndarray
+    stands_for: np.ndarray
+    example_id: list
     rate: float
-    rate_without: float
     k: int
-
-    def vector(self, counts: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
-        at = np.array(sorted(counts), np.int64)
-        tf = 1 + np.log(np.array([counts[w] for w in at.tolist()], float))
-        weights = tf * self.idf[at]
-        return at, weights / np.sqrt((weights**2).sum())
-
-    def score(self, text: str) -> tuple[float, list[dict]]:
-        counts = self.words.counts(text)
-        if not counts:
-            return self.rate_without, []
-        ids, near = self.index.nearest(*self.vector(counts), self.k)
+    slope: float = 1.0
+    offset: float = 0.0
+    _terms: Terms | None = field(default=None, repr=False)
+
+    def terms(self) -> Terms:
+        if self._terms is None:
+            words = {w: i for i, w in enumerate(self.words)}
+            self._terms = Terms(words, {b: len(words) + i for i, b in enumerate(self.beginnings)})
+        return self._terms
+
+    def __getstate__(self) -> dict:
+        return {**self.__dict__, "_terms": None}
+
+    def vectors(self, texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        terms, times, edges = self.terms().counts(texts)
+        weights = (1 + np.log(times)) * self.weight[terms]
+        for low, high in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+            own = weights[low:high]
+            yield terms[low:high], own / np.sqrt((own**2).sum()) if len(own) else own
+
+    def vote(self, terms: np.ndarray, weights: np.ndarray, without: int = -1):
+        """Log-odds of the votes, the nearest examples and their similarities."""
+        ids, near = self.index.nearest(terms, weights, self.k, without)
+        votes = near**3 * self.stands_for[ids]
+        rest = REST * self.stands_for.mean()
+        share = (votes @ self.label[ids] + rest * self.rate) / (votes.sum() + rest)
+        share = min(max(share, 1e-6), 1 - 1e-6)
+        return np.log(share / (1 - share)), ids, near
+
+    def score(self, terms: np.ndarray, weights: np.ndarray) -> tuple[float, list[dict]]:
+        if not len(terms) or not 0 < self.rate < 1:
+            return self.rate, []
+        odds, ids, near = self.vote(terms, weights)
         if not len(ids):
             return self.rate, []
-        votes = near**3
-        share = self.toxic[ids] / self.total[ids]
-        # one more vote at the overall rate: far neighbours alone say little
-        rest = 0.5
-        score = float((votes @ share + rest * self.rate) / (votes.sum() + rest))
         evidence = [
-            {"doc_id": int(self.example_id[i]), "similarity": float(s), "toxic_share": float(t)}
-            for i, s, t in zip(ids, near, share, strict=True)
+            {"doc_id": self.example_id[i], "similarity": float(s), "label": int(self.label[i])}
+            for i, s in zip(ids.tolist(), near.tolist(), strict=True)
         ]
-        return min(max(score, 0.0), 1.0), evidence
-
-
-class Terms(dict):
-    """The terms of the vocabulary in a word: itself and its beginnings, which end in ``~``.
-
-    A dict from words seen to the numbers of their terms, emptied when it is full.
-    """
-
-    def __init__(self, terms: dict[str, int], room: int = 60_000) -> None:
-        super().__init__()
-        self.terms, self.room = terms, room
-
-    def __missing__(self, word: str) -> tuple[int, ...]:
-        if len(self) >= self.room:
-            self.clear()
-        own = [word, *(f"{word[:n]}~" for n in BEGINNINGS if len(word) > n)]
-        found = self[word] = tuple(self.terms[t] for t in own if t in self.terms)
-        return found
-
-    def __reduce__(self):
-        return Terms, (self.terms, self.room)
-
-    def counts(self, text: str) -> Counter[int]:
-        found: Counter[int] = Counter()
-        for numbers in filter(None, map(self.__getitem__, words_of(text))):
-            found.update(numbers)
-        return found
-
-
-def _document_counts(batch: pa.RecordBatch, words: Terms) -> pa.RecordBatch:
-    seen: Counter[int] = Counter()
-    for text in texts(batch.column("text")):
-        seen.update(words.counts(text).keys())
-    return columns(word=pa.array(list(seen), pa.int64()), n=pa.array(list(seen.values()), pa.int64()))
-
-
-def _example_vectors(batch: pa.RecordBatch, words: Terms) -> pa.RecordBatch:
-    found = [sorted(words.counts(t).items()) for t in texts(batch.column("text"))]
+        return float(1 / (1 + np.exp(-(self.slope * odds + self.offset)))), evidence
+
+    def calibrate(self, vectors: list[tuple[np.ndarray, np.ndarray]]) -> None:
+        """Slope and offset of the log-odds by weighted logistic regression.
+
+        On the examples, each of which the others judge; as a penalty, slope 1 and offset 0.
+        """
+        x = np.array([self.vote(t, w, i)[0] for i, (t, w) in enumerate(vectors)])
+        design, beta, prior = np.stack([x, np.ones(len(x))], axis=1), np.array([1.0, 0.0]), np.array([1.0, 0.0])
+        weight = self.stands_for / self.stands_for.mean()
+        for _ in range(50):
+            p = 1 / (1 + np.exp(-np.clip(design @ beta, -30, 30)))
+            gradient = design.T @ (weight * (self.label - p)) - (beta - prior)
+            step = np.linalg.solve((design * (weight * p * (1 - p))[:, None]).T @ design + np.eye(2), gradient)
+            beta = beta + np.clip(step, -1, 1)
+        self.slope, self.offset = float(max(beta[0], 0.05)), float(beta[1])
+
+
+def _chunks(column: pa.Array) -> Iterator[list[bytes]]:
+    held, size = [], 0
+    for value in column.cast(pa.binary()):
+        held.append(value.as_py() or b"")
+        size += len(held[-1])
+        if size >= CHUNK:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
+def _document_counts(batches: Iterator[pa.RecordBatch], model: Broadcast) -> Iterator[pa.RecordBatch]:
+    terms = model.value.terms()
+    seen = np.zeros(terms.size, np.int64)
+    for batch in batches:
+        for texts in _chunks(batch.column("text")):
+            seen += np.bincount(terms.counts(texts)[0], minlength=terms.size)
+    some = np.flatnonzero(seen)
+    yield columns(term=pa.array(some), n=pa.array(seen[some]))
+
+
+def _example_words(batch: pa.RecordBatch) -> pa.RecordBatch:
+    words = [sorted(set((t or b"").lower().translate(BLANKS).split())) for t in batch.column("text").cast(pa.binary()).to_pylist()]
     return columns(
-        doc_id=batch.column("doc_id"), label=batch.column("label"),
-        words=pa.array([[w for w, _ in f] for f in found], pa.list_(pa.int64())),
-        counts=pa.array([[c for _, c in f] for f in found], pa.list_(pa.int64())),
+        doc_id=batch.column("doc_id"), label=batch.column("label"), text=batch.column("text"),
+        words=pa.array(words, pa.list_(pa.binary())),
     )
 
 
-EVIDENCE = pa.struct([("doc_id", pa.int64()), ("similarity", pa.float64()), ("toxic_share", pa.float64())])
-
-
-def _scored(batch: pa.RecordBatch, model: Model, evidence: bool) -> pa.RecordBatch:
-    found = [model.score(t) for t in texts(batch.column("text"))]
+def _scored(batch: pa.RecordBatch, model: Broadcast, evidence: bool) -> pa.RecordBatch:
+    fitted, found = model.value, []
+    for texts in _chunks(batch.column("text")):
+        found += [fitted.score(*v) for v in fitted.vectors(texts)]
     out = {n: batch.column(n) for n in batch.schema.names if n != "text"}
     out["score"] = pa.array([s for s, _ in found], pa.float64())
     if evidence:
-        out["evidence"] = pa.array([e for _, e in found], pa.list_(EVIDENCE))
+        kind = pa.string() if any(isinstance(i, str) for i in fitted.example_id) else pa.int64()
+        out["evidence"] = pa.array([e for _, e in found], pa.list_(pa.struct(
+            [("doc_id", kind), ("similarity", pa.float64()), ("label", pa.int32())])))
     return columns(**out)
 
 
@@ -181,22 +312,18 @@ def fit(
     text: str = "text",
     label: str = "toxic",
     max_examples: int = 4000,
-    vocabulary: int = 256,
-    least_share: float = 0.01,
-    least_chi_square: float = 20.0,
+    beginnings: int = 256,
     k: int = 15,
     seed: int = 5,
 ) -> Model:
     """Fit on labelled rows that are not held out.
 
     About ``max_examples`` rows at most are taken by a hash of the id, half of
-    them of each label where there are enough; an example counts for as many
-    rows as it was drawn from. Equal texts are one example. The vocabulary are
-    the ``vocabulary`` terms, words and beginnings of words, with the largest
-    chi-square (``least_chi_square`` at least) among those that are at least
-    e^2 times as frequent in toxic examples as in others and occur in
-    ``least_share`` of the toxic ones, in three at least. Document frequencies
-    cover all documents.
+    them of each label where there are enough; an example stands for as many
+    rows as it was drawn from. Equal texts are one example. Terms are all words of
+    the examples, and as many as ``beginnings`` beginnings of words, those of largest
+    chi-square. A term's weight is its inverse document frequency over all documents, times
+    ``PLAIN`` or, for a term of toxic examples, up to 1 by its chi-square: no word is left out.
     """
     known = labels.where(F.col(label).isin(0, 1) & ~held_out(F.col(doc_id)) & F.col(doc_id).isNotNull())
     known = known.select(F.col(doc_id).alias("doc_id"), F.col(label).cast("int").alias("label"))
@@ -211,78 +338,83 @@ def fit(
     # the join side has max_examples rows, which is what bounds it
     chosen = source.join(F.broadcast(known.where(drawn < limit)), "doc_id")
     ensure_checkpoint_dir(docs.sparkSession)
-    examples = chosen.groupBy(F.md5(F.coalesce("text", F.lit("")))).agg(
-        F.min("doc_id").alias("doc_id"), F.max("label").alias("label"), F.first("text").alias("text")
-    ).select("doc_id", "label", "text").checkpoint()
-
-    lowered = F.translate(F.coalesce("text", F.lit("")), UPPER, UPPER.lower())
-    whole = F.array_distinct(F.regexp_extract_all(lowered, F.lit(WORD_PATTERN), 0))
-    starts = [
-        F.transform(F.filter(whole, lambda w, n=n: F.length(w) > n), lambda w, n=n: F.concat(F.left(w, F.lit(n)), F.lit("~")))
-        for n in BEGINNINGS
-    ]
-    terms = examples.select(
-        "label", F.explode(F.array_distinct(F.concat(whole, *starts))).alias("word")
-    ).groupBy("word").agg(F.count("*").alias("n"), F.sum("label").alias("a"))
-    totals = examples.agg(F.count("*"), F.sum("label")).first()
-    n, n1 = totals[0], totals[1] or 0
-    n0 = n - n1
-    words = Terms({})
-    if n0 and n1:
-        a, b = F.col("a"), F.col("n") - F.col("a")
-        odds = F.log((a + 0.5) / (n1 + 1)) - F.log((b + 0.5) / (n0 + 1))
-        gap = a * n0 - b * n1
-        chi = n * gap * gap / (F.lit(float(n1)) * n0 * F.col("n") * (n - F.col("n") + 1))
-        best = (
-            terms.where((a >= max(3, least_share * n1)) & (odds >= 2) & (chi >= least_chi_square))
-            .orderBy(chi.desc(), "word").limit(vocabulary).select("word").collect()
-        )
-        words = Terms({w: i for i, w in enumerate(sorted(r["word"] for r in best))})
-
-    counted = map_batches(
-        source.select("text"), partial(_document_counts, words=words), "word long, n long"
-    ).groupBy("word").agg(F.sum("n").alias("n")).collect() if words.terms else []
-    n_docs = docs.count()
-    df = np.zeros(len(words.terms))
-    for r in counted:
-        df[r["word"]] = r["n"]
-    idf = np.log((1 + n_docs) / (1 + df)) + 1
-
-    kind = source.schema["doc_id"].dataType.simpleString()
-    rows = map_batches(
-        examples, partial(_example_vectors, words=words),
-        f"doc_id {kind}, label int, words array<long>, counts array<long>",
-    ).orderBy("doc_id").collect() if words.terms else []
-    vectors: dict[tuple, list[float]] = {}
-    model = Model(words, idf, BlockMaxIndex.of(np.zeros((0, len(words.terms)))), np.empty(0), np.empty(0),
-                  np.empty(0, np.int64), rate, rate, k)
-    none = [0.0, 0.0]
-    for r in rows:
-        weight = 1 / share[r["label"]]
-        key = (*r["words"], -1, *r["counts"])
-        held = vectors.setdefault(key, [0.0, 0.0, r["doc_id"]]) if r["words"] else none
-        held[0] += weight * r["label"]
-        held[1] += weight
-    model.rate_without = (none[0] + rate) / (none[1] + 1)
-    if vectors:
-        dense = np.zeros((len(vectors), len(words.terms)))
-        # like vectors into the same blocks: by their heaviest word, then its weight
-        parted = []
-        for key, held in vectors.items():
-            cut = key.index(-1)
-            at, weights = model.vector(dict(zip(key[:cut], key[cut + 1 :], strict=True)))
-            top = int(weights.argmax())
-            parted.append((int(at[top]), -float(weights[top]), held[2], at, weights, held))
-        parted.sort(key=lambda p: p[:3])
-        for i, (_, _, _, at, weights, _) in enumerate(parted):
-            dense[i, at] = weights
-        model.index = BlockMaxIndex.of(dense)
-        model.toxic = np.array([p[5][0] for p in parted])
-        model.total = np.array([p[5][1] for p in parted])
-        model.example_id = np.array([p[2] for p in parted], np.int64)
+    examples = map_batches(
+        chosen.groupBy(F.md5(F.coalesce("text", F.lit("")))).agg(
+            F.min("doc_id").alias("doc_id"), F.max("label").alias("label"), F.first("text").alias("text")
+        ).select("doc_id", "label", "text"),
+        _example_words, f"doc_id {source.schema['doc_id'].dataType.simpleString()}, label int, text string, words array<binary>",
+    ).checkpoint()
+    rows = examples.select("doc_id", "label", "words").orderBy("doc_id").collect()
+    words = sorted({bytes(w) for r in rows for w in r["words"]})
+    label = np.array([r["label"] for r in rows], np.int64)
+    number = {w: i for i, w in enumerate(words)}
+    example = np.repeat(np.arange(len(rows)), [len(r["words"]) for r in rows])
+    term = np.fromiter((number[bytes(w)] for r in rows for w in r["words"]), np.int64, len(example))
+    starts = _beginnings(words)
+    start_names = sorted({b for own in starts for b in own})
+    start_number = {b: i for i, b in enumerate(start_names)}
+    pairs = np.unique(np.array(
+        [(e, start_number[b]) for e, t in zip(example.tolist(), term.tolist(), strict=True) for b in starts[t]], np.int64
+    ).reshape(-1, 2), axis=0)
+    of_words = telling(term, label[example], len(words), label)
+    of_starts = telling(pairs[:, 1], label[pairs[:, 0]], len(start_names), label)
+    least = max(3, 0.01 * label.sum())
+    a = np.bincount(pairs[:, 1], label[pairs[:, 0]], minlength=len(start_names))
+    strong = np.flatnonzero((of_starts >= TELLING) & (a >= least))
+    strong = strong[np.lexsort((strong, -of_starts[strong]))][:beginnings]
+    names = [start_names[i] for i in sorted(strong)]
+    telltale = np.concatenate([of_words, of_starts[sorted(strong)]])
+
+    model = Model(words, names, np.ones(len(telltale)), None, label, np.array([1 / share[y] for y in label]),
+                  [r["doc_id"] for r in rows], rate, k)
+    spark = docs.sparkSession
+    importable(spark)
+    counted = source.select("text").mapInArrow(
+        partial(_document_counts, model=spark.sparkContext.broadcast(model)), "term long, n long"
+    ).groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+    df = np.zeros(len(telltale))
+    df[counted["term"].to_numpy()] = counted["n"].to_numpy()
+    idf = np.log((1 + docs.count()) / (1 + df)) + 1
+    model.weight = idf * (PLAIN + (1 - PLAIN) * np.minimum(1, telltale / TELLING))
+    # like vectors into the same blocks: by label, then by their most common word, which tells languages apart
+    texts = {r["doc_id"]: (r["text"] or "").encode("utf-8", "surrogatepass") for r in examples.select("doc_id", "text").toLocalIterator()}
+    vectors = []
+    for low in range(0, len(rows), 100):
+        vectors += list(model.vectors([texts[i] for i in model.example_id[low : low + 100]]))
+    del texts
+    lightest = [int(t[model.weight[t].argmin()]) if len(t) else -1 for t, _ in vectors]
+    order = np.lexsort((np.arange(len(rows)), lightest, label))
+    vectors = [vectors[i] for i in order]
+    model.label, model.stands_for = label[order], model.stands_for[order]
+    model.example_id = [model.example_id[i] for i in order]
+    lengths = [len(t) for t, _ in vectors]
+    model.index = BlockMaxIndex.of(
+        np.repeat(np.arange(len(rows)), lengths), np.concatenate([np.empty(0, np.int64), *(t for t, _ in vectors)]),
+        np.concatenate([np.empty(0), *(w for _, w in vectors)]), len(rows), len(telltale),
+    )
+    if 0 < rate < 1:
+        model.calibrate(vectors)
     return model
 
 
+def _beginnings(words: list[bytes]) -> list[list[str]]:
+    texts = (w.decode("utf-8", "surrogatepass") for w in words)
+    return [[t[:n] for n in BEGINNINGS if len(t) > n] for t in texts]
+
+
+def telling(term: np.ndarray, toxic: np.ndarray, terms: int, label: np.ndarray) -> np.ndarray:
+    """Chi-square of each term where it is e times as frequent in toxic examples, else 0."""
+    n, n1 = len(label), int(label.sum())
+    n0 = n - n1
+    a, both = np.bincount(term, toxic, minlength=terms), np.bincount(term, minlength=terms)
+    b = both - a
+    if not n0 or not n1:
+        return np.zeros(terms)
+    odds = np.log((a + 0.5) / (n1 + 1)) - np.log((b + 0.5) / (n0 + 1))
+    chi = n * (a * n0 - b * n1) ** 2 / (float(n1) * n0 * both * (n - both + 1))
+    return np.where(odds >= 1, chi, 0.0)
+
+
 def scored(
     docs: DataFrame,
     model: Model,
@@ -296,10 +428,10 @@ def scored(
     """The columns ``carry`` (the id by default) as struct ``row``, ``held_out, score, predicted``.
 
     One row per input row; ``predicted`` is 1 from ``threshold`` on; ``evidence``
-    adds the nearest examples with their similarity and share of toxic labels. A
-    text without a word of the vocabulary, empty and null texts among them, gets
-    the rate of such examples; without labels of both kinds every score is the
-    rate of the label there is, or 0. Null ids and repeated rows are documents
+    adds the nearest examples with their similarity and label, equally near ones in the order of
+    the index. A text without a word of any example, empty and null texts among them, gets
+    the rate of toxic labels; without labels of both kinds every score is the
+    rate of the label there is, or 0. Very long texts are scored whole. Null ids and repeated rows are documents
     like others; other columns are not looked at; an empty table gives no rows.
     """
     carry = [doc_id] if carry is None else carry
@@ -309,9 +441,10 @@ def scored(
         F.col(text).alias("text"),
     )
     kind = source.schema["row"].dataType.simpleString()
-    extra = ", evidence array<struct<doc_id:long,similarity:double,toxic_share:double>>" if evidence else ""
+    example = "string" if any(isinstance(i, str) for i in model.example_id) else "long"
+    extra = f", evidence array<struct<doc_id:{example},similarity:double,label:int>>" if evidence else ""
     return map_batches(
-        source, partial(_scored, model=model, evidence=evidence),
+        source, partial(_scored, model=docs.sparkSession.sparkContext.broadcast(model), evidence=evidence),
         f"row {kind}, held_out boolean, score double{extra}",
     ).withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
