@@ -16,6 +16,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -330,7 +331,7 @@ def fit(
     sizes = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
     share = {y: min(1.0, max_examples / 2 / n) for y, n in sizes.items()}
     rate = sizes.get(1, 0) / max(1, sum(sizes.values()))
-    source = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    source = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     drawn = F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1 << 20))
     limit = F.lit(0)
     for y, part in share.items():
@@ -344,29 +345,35 @@ def fit(
         ).select("doc_id", "label", "text"),
         _example_words, f"doc_id {source.schema['doc_id'].dataType.simpleString()}, label int, text string, words array<binary>",
     ).checkpoint()
-    rows = examples.select("doc_id", "label", "words").orderBy("doc_id").collect()
-    words = sorted({bytes(w) for r in rows for w in r["words"]})
-    label = np.array([r["label"] for r in rows], np.int64)
-    number = {w: i for i, w in enumerate(words)}
-    example = np.repeat(np.arange(len(rows)), [len(r["words"]) for r in rows])
-    term = np.fromiter((number[bytes(w)] for r in rows for w in r["words"]), np.int64, len(example))
-    starts = _beginnings(words)
-    start_names = sorted({b for own in starts for b in own})
-    start_number = {b: i for i, b in enumerate(start_names)}
-    pairs = np.unique(np.array(
-        [(e, start_number[b]) for e, t in zip(example.tolist(), term.tolist(), strict=True) for b in starts[t]], np.int64
-    ).reshape(-1, 2), axis=0)
+    # the words of max_examples texts, as Arrow arrays
+    in_order = examples.orderBy("doc_id", "text")
+    rows = in_order.select("doc_id", "label", "words").toArrow().combine_chunks()
+    ids, label = rows["doc_id"].to_pylist(), rows["label"].to_numpy().astype(np.int64)
+    lists = rows["words"].combine_chunks()
+    example = np.repeat(np.arange(len(rows)), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+    coded = lists.flatten().dictionary_encode()
+    words, place = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+    del rows, lists, coded
+    order = sorted(range(len(words)), key=words.__getitem__)
+    words, rank = [words[i] for i in order], np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    term = rank[place]
+    start_names, starts = _beginnings(words)
+    pairs = starts[term]
+    known = pairs >= 0
+    pairs = np.unique(np.repeat(example, pairs.shape[1]).reshape(pairs.shape)[known] * (len(start_names) + 1) + pairs[known])
+    pairs = np.stack([pairs // (len(start_names) + 1), pairs % (len(start_names) + 1)], axis=1)
     of_words = telling(term, label[example], len(words), label)
     of_starts = telling(pairs[:, 1], label[pairs[:, 0]], len(start_names), label)
     least = max(3, 0.01 * label.sum())
     a = np.bincount(pairs[:, 1], label[pairs[:, 0]], minlength=len(start_names))
     strong = np.flatnonzero((of_starts >= TELLING) & (a >= least))
-    strong = strong[np.lexsort((strong, -of_starts[strong]))][:beginnings]
+    strong = sorted(strong, key=lambda i: (-of_starts[i], start_names[i]))[:beginnings]
     names = [start_names[i] for i in sorted(strong)]
     telltale = np.concatenate([of_words, of_starts[sorted(strong)]])
 
     model = Model(words, names, np.ones(len(telltale)), None, label, np.array([1 / share[y] for y in label]),
-                  [r["doc_id"] for r in rows], rate, k)
+                  ids, rate, k)
     spark = docs.sparkSession
     importable(spark)
     counted = source.select("text").mapInArrow(
@@ -377,29 +384,36 @@ def fit(
     idf = np.log((1 + docs.count()) / (1 + df)) + 1
     model.weight = idf * (PLAIN + (1 - PLAIN) * np.minimum(1, telltale / TELLING))
     # like vectors into the same blocks: by label, then by their most common word, which tells languages apart
-    texts = {r["doc_id"]: (r["text"] or "").encode("utf-8", "surrogatepass") for r in examples.select("doc_id", "text").toLocalIterator()}
-    vectors = []
-    for low in range(0, len(rows), 100):
-        vectors += list(model.vectors([texts[i] for i in model.example_id[low : low + 100]]))
+    texts, vectors = in_order.select("text").toArrow()["text"], []
+    for chunk in texts.chunks:
+        for some in _chunks(chunk):
+            vectors += list(model.vectors(some))
     del texts
     lightest = [int(t[model.weight[t].argmin()]) if len(t) else -1 for t, _ in vectors]
-    order = np.lexsort((np.arange(len(rows)), lightest, label))
+    order = np.lexsort((np.arange(len(ids)), lightest, label))
     vectors = [vectors[i] for i in order]
     model.label, model.stands_for = label[order], model.stands_for[order]
     model.example_id = [model.example_id[i] for i in order]
     lengths = [len(t) for t, _ in vectors]
     model.index = BlockMaxIndex.of(
-        np.repeat(np.arange(len(rows)), lengths), np.concatenate([np.empty(0, np.int64), *(t for t, _ in vectors)]),
-        np.concatenate([np.empty(0), *(w for _, w in vectors)]), len(rows), len(telltale),
+        np.repeat(np.arange(len(ids)), lengths), np.concatenate([np.empty(0, np.int64), *(t for t, _ in vectors)]),
+        np.concatenate([np.empty(0), *(w for _, w in vectors)]), len(ids), len(telltale),
     )
     if 0 < rate < 1:
         model.calibrate(vectors)
     return model
 
 
-def _beginnings(words: list[bytes]) -> list[list[str]]:
-    texts = (w.decode("utf-8", "surrogatepass") for w in words)
-    return [[t[:n] for n in BEGINNINGS if len(t) > n] for t in texts]
+def _beginnings(words: list[bytes]) -> tuple[list[str], np.ndarray]:
+    """Beginnings of words, and for each word the numbers of its own, or -1."""
+    number: dict[str, int] = {}
+    found = np.full((len(words), len(BEGINNINGS)), -1)
+    for i, word in enumerate(words):
+        text = word.decode("utf-8", "surrogatepass")
+        for j, n in enumerate(BEGINNINGS):
+            if len(text) > n:
+                found[i, j] = number.setdefault(text[:n], len(number))
+    return list(number), found
 
 
 def telling(term: np.ndarray, toxic: np.ndarray, terms: int, label: np.ndarray) -> np.ndarray:
