@@ -19,6 +19,6 @@ def test_query_equals_its_sql(spark, db, name):
 
 
 def test_there_is_one_query_for_each_operator():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert QUERIES.keys() | {"pipeline"} <= entry.queries().keys()
     assert SQL.keys() <= entry.oracle_sql().keys()

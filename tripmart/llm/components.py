@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripmart.llm.workers import free
 from tripmart.storage import ensure_checkpoint_dir
 
 
@@ -16,10 +15,9 @@ def components(links: DataFrame) -> DataFrame:
     node that it is named after, until nothing changes, so that ways halve from round to
     round. Both joins read checkpointed tables, so each side is a plain exchange, of
     which the adaptive skew join splits a hub's rows, and minima are taken before the
-    shuffle. What a round has read is freed.
+    shuffle.
     """
-    spark = links.sparkSession
-    ensure_checkpoint_dir(spark)
+    ensure_checkpoint_dir(links.sparkSession)
     one_way = links.where("a <> b").select("a", "b")
     ways = one_way.union(one_way.select("b", "a")).distinct().checkpoint()
     labels = ways.groupBy(F.col("a").alias("node")).agg(F.least(F.col("node"), F.min("b")).alias("label")).checkpoint()
@@ -35,5 +33,3 @@ def components(links: DataFrame) -> DataFrame:
         near = ways.join(labels, ways["a"] == labels["node"]).select(F.col("b").alias("node"), "label")
         far = labels.join(named, "label").select("node", F.col("next").alias("label"))
         labels = near.unionAll(far).groupBy("node").agg(F.min("label").alias("label")).checkpoint()
-        del named, near, far
-        free(spark)

@@ -44,6 +44,10 @@ def _measured(batch: pa.RecordBatch, n_keys: int) -> pa.RecordBatch:
     return columns(**keys, **{n: pa.array(v, pa.int64()) for n, v in zip(names, found, strict=True)})
 
 
+#: Documents that a prior is worth where hosts do not differ.
+MOST = 1e9
+
+
 @dataclass(frozen=True)
 class Rules:
     """Bounds of the document rules; a document fails if it breaks any of the first two.
@@ -57,23 +61,26 @@ class Rules:
 
 
 def prior(hosts: DataFrame) -> tuple[float, float]:
-    """Beta prior ``a, b`` of the hosts' failure rates by the method of moments.
+    """Beta prior ``a, b`` of the hosts' failure rates by beta-binomial moments.
 
-    From the mean and variance of the rates over hosts. Without a spread that a
-    beta distribution can have (one host, equal rates) it is worth one document
-    at the overall rate. One row comes to the driver.
+    The spread of the rates, weighted by the hosts' documents, beyond what drawing
+    that many documents at the overall rate p gives by itself is the part r of
+    p (1 - p) that lies between hosts; the prior is worth (1 - r) / r documents at p. Without such
+    a spread (noise only, one host, equal rates) it is worth ``MOST`` documents, so that no host
+    differs from the rest. A few sums come to the driver.
     """
-    rate = F.col("failed") / F.col("n")
-    m = hosts.agg(
-        F.avg(rate).alias("mean"), F.var_samp(rate).alias("var"),
-        (F.sum("failed") / F.sum("n")).alias("overall"),
+    sums = hosts.agg(
+        F.count("*").alias("hosts"), F.sum("n").alias("n"), F.sum("failed").alias("failed"),
+        F.sum(F.col("n") * F.col("n").cast("double")).alias("squares"),
+        F.sum(F.col("failed") * F.col("failed").cast("double") / F.col("n")).alias("between"),
     ).first()
-    mean, var = m["mean"], m["var"]
-    if var and 0 < var < mean * (1 - mean):
-        size = mean * (1 - mean) / var - 1
-        return mean * size, (1 - mean) * size
-    overall = m["overall"] or 0.0
-    return overall, 1 - overall
+    if not sums["n"]:
+        return 0.0, MOST
+    k, n, p = sums["hosts"], sums["n"], sums["failed"] / sums["n"]
+    noise, room = p * (1 - p) * (k - 1), p * (1 - p) * (n - sums["squares"] / n - (k - 1))
+    part = (sums["between"] - n * p * p - noise) / room if room > 0 else 0.0
+    size = MOST if part <= 1 / (1 + MOST) else max(1 - part, 0.0) / part
+    return p * size, (1 - p) * size
 
 
 def judged(
@@ -159,14 +166,18 @@ WITH d AS (
   SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m
 ), h AS (
   SELECT key, count(*) AS n, count(*) FILTER (WHERE base_failed) AS failed FROM b GROUP BY key
-), p AS (
-  SELECT avg(failed / n) AS mean, var_samp(failed / n) AS var, sum(failed) / sum(n) AS overall FROM h
+), s AS (
+  SELECT count(*) AS k, sum(n)::DOUBLE AS n, sum(failed)::DOUBLE / sum(n) AS p, sum(n * n::DOUBLE) AS squares,
+    sum(failed * failed::DOUBLE / n) AS between_hosts
+  FROM h
+), r AS (
+  SELECT p, CASE WHEN p * (1 - p) * (n - squares / n - (k - 1)) > 0
+      THEN (between_hosts - n * p * p - p * (1 - p) * (k - 1)) / (p * (1 - p) * (n - squares / n - (k - 1)))
+      ELSE 0 END AS part
+  FROM s
 ), ab AS (
-  SELECT CASE WHEN var > 0 AND var < mean * (1 - mean) THEN mean * (mean * (1 - mean) / var - 1)
-      ELSE overall END AS a,
-    CASE WHEN var > 0 AND var < mean * (1 - mean) THEN (1 - mean) * (mean * (1 - mean) / var - 1)
-      ELSE 1 - overall END AS b
-  FROM p
+  SELECT p * size AS a, (1 - p) * size AS b
+  FROM (SELECT p, CASE WHEN part <= 1 / (1 + 1e9) THEN 1e9 ELSE greatest(1 - part, 0) / part END AS size FROM r)
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT base_failed AND NOT (failed + ab.a) / (n + ab.a + ab.b) > 0.5 AS kept

@@ -88,21 +88,33 @@ def phrase_places(words: list[str], places: dict[str, list[int]], phrase: str) -
     return [s for s in starts if s >= 0 and words[s : s + len(parts)] == parts]
 
 
-def all_blocks(places: dict[str, list[int]], t: Template) -> list[tuple[int, int]]:
+def all_blocks(
+    places: dict[str, list[int]], t: Template, skipped: list[int] | None = None
+) -> list[tuple[int, int]]:
     """Distinct words of ``t`` and start of every block that reaches ``need``, by start.
 
     A block starts at a word of the template; one that starts elsewhere holds no
     more than the one that starts at its first such word. Blocks that overlap are
-    all there.
+    all there. Every block is found at its rarest word, which is in the prefix: at each
+    place of such a word, the words after it in the order that stand near are counted, and
+    the place is skipped (and noted in ``skipped``) once they and those not yet looked for are too few.
     """
     there = [w for w in t.words if w in places]
     if len(there) < t.need:
         return []
     reached: dict[int, int] = {}
     for i, word in enumerate(t.prefix):
-        if len(t.words) - i < t.need:
-            break
         for at in places.get(word, ()):
+            held, left = 1, len(t.words) - i - 1
+            for w in t.words[i + 1 :]:
+                if held + left < t.need or held >= t.need:
+                    break
+                left -= 1
+                held += bool(w in places and _between(places[w], at - t.span + 1, at + t.span))
+            if held + left < t.need:
+                if skipped is not None:
+                    skipped.append(at)
+                continue
             near = sorted(
                 (p, w) for w in there for p in _between(places[w], at - t.span + 1, at + t.span)
             )

@@ -31,7 +31,8 @@ def perspectives(
     row holds an unbounded dialogue. Roles in ``context`` are no participants and
     are rendered as they are. ``messages`` are structs of ``role, name, content,
     trained``; ``text`` renders them, an opening ``<|`` within names and contents
-    written ``< |`` so that only the template has markers; ``mask`` has one struct
+    written ``< |``, a closing ``|>`` in names ``| >`` and line breaks there blanks, so that
+    only the template has markers (names that this makes equal are one participant); ``mask`` has one struct
     ``start, end`` for each message that counts: the characters of its content
     and end marker, from 0, end excluded.
 
@@ -48,7 +49,7 @@ def perspectives(
         F.coalesce(F.floor(F.col(turn) / part_turns), F.lit(0)).cast("long").alias("part"),
         F.struct(
             F.col(turn).alias("turn"),
-            F.coalesce(F.replace(F.col(role), marker, F.lit("< |")), F.lit(NAMELESS)).alias("who"),
+            F.coalesce(_name(F.replace(F.col(role), marker, F.lit("< |"))), F.lit(NAMELESS)).alias("who"),
             F.coalesce(F.replace(F.col(text), marker, F.lit("< |")), F.lit("")).alias("content"),
         ).alias("said"),
     )
@@ -63,6 +64,11 @@ def perspectives(
     return dialogues.join(speakers, "conv_id").select("conv_id", "part", "speaker", *_rendered(context))
 
 
+def _name(role: Column) -> Column:
+    """A name that does not close its header: no ``|>`` and no line break."""
+    return F.translate(F.replace(role, F.lit("|>"), F.lit("| >")), "\n\r", "  ")
+
+
 def _rendered(context: tuple[str, ...]) -> list[Column]:
     def message(said: Column) -> Column:
         who, speaker = said["who"], F.col("speaker")
@@ -124,7 +130,7 @@ def op4_perspectives(spark, sf_dir: str) -> DataFrame:
 OP4_SQL = r"""
 WITH t AS (
   SELECT conv_id, coalesce(floor(turn / 1024.0), 0)::BIGINT AS part, turn,
-    coalesce(replace(role, '<|', '< |'), 'unknown') AS who,
+    coalesce(translate(replace(replace(role, '<|', '< |'), '|>', '| >'), chr(10) || chr(13), '  '), 'unknown') AS who,
     coalesce(replace(text, '<|', '< |'), '') AS content
   FROM conversations WHERE conv_id IS NOT NULL
 ), n AS (
