@@ -11,25 +11,29 @@ from tripmart.storage import ensure_checkpoint_dir
 def components(links: DataFrame) -> DataFrame:
     """``node, label`` for every node of ``links`` (``a, b``); label is the least node.
 
-    A round takes for each node the least label of itself, its neighbours and the
-    node that it is named after, until nothing changes, so that ways halve from round to
-    round. Both joins read checkpointed tables, so each side is a plain exchange, of
-    which the adaptive skew join splits a hub's rows, and minima are taken before the
-    shuffle.
+    Alternating stars: a round hangs every larger neighbour of a node, then every
+    smaller one, below the least neighbour, until the links are stars. A round
+    sums before it shuffles and joins on the node. Rounds grow with the logarithm of the
+    nodes; each is checkpointed. All links of a hub meet in one task of a round.
     """
     ensure_checkpoint_dir(links.sparkSession)
-    one_way = links.where("a <> b").select("a", "b")
-    ways = one_way.union(one_way.select("b", "a")).distinct().checkpoint()
-    labels = ways.groupBy(F.col("a").alias("node")).agg(F.least(F.col("node"), F.min("b")).alias("label")).checkpoint()
+    edges = links.where("a <> b").select(
+        F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")
+    ).distinct()
     state = None
     while True:
-        now = tuple(labels.agg(
-            F.count("*"), F.sum(F.xxhash64("node", "label").cast("decimal(38,0)"))
+        both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        large = large.distinct()  # every node keeps its links to smaller nodes only
+        low = large.groupBy("a").agg(F.min("b").alias("m"))
+        small = large.join(low, "a").where("b > m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        edges = small.union(low.select("a", F.col("m").alias("b"))).distinct().checkpoint()
+        now = tuple(edges.agg(
+            F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))
         ).first())
         if now == state:
-            return labels
+            break
         state = now
-        named = labels.select(F.col("node").alias("label"), F.col("label").alias("next"))
-        near = ways.join(labels, ways["a"] == labels["node"]).select(F.col("b").alias("node"), "label")
-        far = labels.join(named, "label").select("node", F.col("next").alias("label"))
-        labels = near.unionAll(far).groupBy("node").agg(F.min("label").alias("label")).checkpoint()
+    roots = edges.select(F.col("b").alias("node"), F.col("b").alias("label")).distinct()
+    return edges.select(F.col("a").alias("node"), F.col("b").alias("label")).union(roots)
