@@ -35,6 +35,8 @@ IDF_DAMPING = 0.25
 FAMILY_VALUES = 5
 #: Texts compared at once; larger buckets and families are dealt out in blocks.
 BLOCK = 800
+#: Members of families, of some 150 bytes each, that are sent to the texts instead of meeting them.
+SENT = 100_000
 #: Bytes of text shingled and signed at once: what fits into a cache.
 CHUNK = 200_000
 
@@ -429,8 +431,10 @@ def _links(source: DataFrame, families: DataFrame, texts: DataFrame, idf: np.nda
     def compared(rows: DataFrame, across: bool) -> DataFrame:
         """``rows``: members with ``places``, an array of (i, j, side)."""
         own = (source["digest"] == rows["digest"]) & source["doc_id"].eqNullSafe(rows["rep"])
+        # of few members, their ids go to the texts; else texts and members meet by digest
+        sent = F.broadcast(rows) if rows.count() <= SENT else rows
         return (
-            source.join(rows, own).select(source["digest"], "text", "label", F.explode("places").alias("to"))
+            source.join(sent, own).select(source["digest"], "text", "label", F.explode("places").alias("to"))
             .select("label", "to.i", "to.j", "to.side", "digest", "text")
             .repartition(n, "label", "i", "j").sortWithinPartitions("label", "i", "j", "digest")
             .mapInArrow(partial(_verified, idf=idf, across=across), "a string, b string").checkpoint()
@@ -478,8 +482,8 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     columns are not looked at; an empty table gives no rows.
 
     Whole texts, very long ones too, are shingled twice, for frequencies and for
-    signatures. Texts are shuffled once to meet their families and those of families once
-    more; of a family over 800 texts, those that are not like its pivot, in several
+    signatures. Texts of families are shuffled once, and before, if members are more than
+    ``SENT``, all texts to meet them; of a family over 800 texts, those that are not like its pivot, in several
     steps, are sent as often as it has parts.
     """
     spark = docs.sparkSession
