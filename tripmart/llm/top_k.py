@@ -1,12 +1,14 @@
 """Exact top-k inner products by a three-phase uniform threshold.
 
 A score is a sum over groups of components, and each group of each block of
-vectors is one score list. Phase one gathers the head of every list; the k-th
-best whole score among what it brings is a cutoff that cannot be too high. A
-vector that reaches the cutoff has at least one part that reaches the cutoff's
-share of one list. Phase two sends the cutoff to every block and collects the
-vectors with such a part whose bound, the share in place of each smaller part,
-reaches the cutoff. Phase three resolves the whole scores of those.
+vectors is one score list, in order of impact: the length of the vector's part,
+times that of the query's, bounds its score in the list. Phase one opens the head
+of every list only; the vectors with the best scores there are resolved, and the
+k-th best of all blocks is a cutoff that cannot be too high. A vector that reaches
+the cutoff has at least one part that reaches the cutoff's share of one list.
+Phase two sends the cutoff to every block, opens each list as far as the share can
+be reached, and collects the vectors with such a part whose bound, the impact in
+place of each part not opened, reaches the cutoff. Phase three resolves those.
 """
 
 from __future__ import annotations
@@ -22,7 +24,11 @@ from pyspark.sql import functions as F
 from tripmart.llm.workers import columns, importable
 
 LISTS = 4
-BLOCK = 4096
+BLOCK = 2048
+#: Entries of a list that are opened at a time, and by phase one.
+CHUNK = 256
+#: Impacts are larger by this share than rounding can make them smaller.
+SLACK = 1e-9
 QUERY_BLOCK = 256
 NO_ID = int(np.iinfo(np.int64).max)
 #: As a cutoff: every vector reaches it.
@@ -42,11 +48,14 @@ def whole_numbers(vectors: DataFrame, vec_id: str, embedding: str, scale: int) -
 
 
 def _packed(rows: DataFrame, size: int, dims: int, numbers: list[str]) -> DataFrame:
-    """Blocks of up to ``size`` rows of a partition as arrays, with the partition's number."""
+    """Blocks of up to ``size`` rows of a partition as arrays, numbered to be dealt out.
+
+    Rows are in order, so that a task that runs again makes the same blocks.
+    """
     importable(rows.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part = TaskContext.get().partitionId()
+        part = TaskContext.get().partitionId() * 7919
         for batch in batches:
             for low in range(0, batch.num_rows, size):
                 some = batch.slice(low, size)
@@ -56,6 +65,7 @@ def _packed(rows: DataFrame, size: int, dims: int, numbers: list[str]) -> DataFr
                 row = np.repeat(np.arange(some.num_rows), lengths)
                 start = np.repeat(v.offsets.to_numpy()[:-1] - v.offsets.to_numpy()[0], lengths)
                 matrix[row, np.arange(len(row)) - start] = v.flatten().to_numpy()
+                part += 1
                 yield columns(
                     part=pa.array([part], pa.int64()),
                     v=pa.array([matrix.tobytes()], pa.binary()),
@@ -64,14 +74,18 @@ def _packed(rows: DataFrame, size: int, dims: int, numbers: list[str]) -> DataFr
                     ], pa.binary()) for n in numbers},
                 )
 
-    return rows.select("v", *numbers).mapInArrow(
+    return rows.select("v", *numbers).sortWithinPartitions(*numbers, "v").mapInArrow(
         run, "part long, v binary, " + ", ".join(f"{n} binary" for n in numbers)
     )
 
 
+def _largest(a: np.ndarray) -> int:
+    return max(int(a.max(initial=0)), -int(a.min(initial=0)))
+
+
 def inner(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Exact products of integer rows, as Python integers where a long might not hold them."""
-    most = a.shape[1] * int(np.abs(a.astype(object)).max(initial=0)) * int(np.abs(b.astype(object)).max(initial=0))
+    most = a.shape[1] * _largest(a) * _largest(b)
     if most < 1 << 53:
         return (a.astype(np.float64) @ b.astype(np.float64).T).astype(np.int64)
     if most < 1 << 63:
@@ -84,10 +98,75 @@ def as_long(scores: np.ndarray) -> np.ndarray:
     return np.clip(scores, LEAST, NO_ID).astype(np.int64)
 
 
-def _parts(q: np.ndarray, c: np.ndarray) -> np.ndarray:
-    """Scores of every list: list, query, vector."""
-    cuts = np.array_split(np.arange(q.shape[1]), LISTS)
-    return np.stack([inner(q[:, g], c[:, g]) for g in cuts])  # whole numbers of either kind
+class Lists:
+    """The score lists of one block of vectors; ``opened`` counts scores computed in them."""
+
+    def __init__(self, vectors: np.ndarray) -> None:
+        self.vectors = vectors
+        self.groups = np.array_split(np.arange(vectors.shape[1]), LISTS)
+        self.impact = self.lengths(vectors)
+        self.order = np.argsort(-self.impact, axis=0, kind="stable")
+        self.opened = self.resolved = 0
+
+    def lengths(self, rows: np.ndarray) -> np.ndarray:
+        """Of each row's parts, rounded up."""
+        squares = rows.astype(np.float64) ** 2
+        return np.stack([np.sqrt(squares[:, g].sum(axis=1)) for g in self.groups], axis=1) * (1 + SLACK)
+
+    def open(self, g: int, queries: np.ndarray, entries: np.ndarray) -> np.ndarray:
+        """Scores in list ``g``: query, entry."""
+        self.opened += len(queries) * len(entries)
+        return inner(queries[:, self.groups[g]], self.vectors[np.ix_(entries, self.groups[g])])
+
+    def whole(self, query: np.ndarray, some: np.ndarray) -> np.ndarray:
+        self.resolved += len(some)
+        return as_long(inner(query[None], self.vectors[some])[0])
+
+    def heads(self, queries: np.ndarray, usable: np.ndarray, k: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For each query the k best whole scores of what the heads of the lists bring."""
+        entries = [self.order[:CHUNK, g] for g in range(LISTS)]
+        scores = [self.open(g, queries, entries[g]) for g in range(LISTS)]
+        for i, query in enumerate(queries):
+            brought = []
+            for g in range(LISTS):
+                there = np.flatnonzero(usable[i, entries[g]])
+                brought.append(entries[g][there[np.argsort(-scores[g][i, there], kind="stable")[:k]]])
+            some = np.unique(np.concatenate(brought))
+            whole = self.whole(query, some)
+            best = np.argsort(-whole, kind="stable")[:k]
+            yield some[best], whole[best]
+
+    def reaching(
+        self, queries: np.ndarray, usable: np.ndarray, cutoffs: list[int]
+    ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For each query the vectors whose whole score is at least its cutoff, and the scores."""
+        shares = [-(-cutoff // LISTS) for cutoff in cutoffs]  # some part of a sum that reaches the cutoff does
+        least = np.array(shares, np.float64)
+        exact = np.array(shares, object)[:, None]
+        lengths = self.lengths(queries)
+        bound = lengths @ self.impact.T
+        slack = SLACK * bound
+        reached = np.array([cutoff == LEAST for cutoff in cutoffs])[:, None].repeat(len(self.vectors), axis=1)
+        for g in range(LISTS):
+            for low in range(0, len(self.order), CHUNK):
+                entries = self.order[low : low + CHUNK, g]
+                active = np.flatnonzero(
+                    (lengths[:, g] * self.impact[entries[0], g] * (1 + SLACK) >= least) & ~reached.all(axis=1)
+                )
+                if not len(active):
+                    break
+                scores = self.open(g, queries[active], entries)
+                at = np.ix_(active, entries)
+                known = scores.astype(np.float64)
+                reached[at] |= (scores >= exact[active]).astype(bool)
+                bound[at] += known - np.outer(lengths[active, g], self.impact[entries, g])
+        for i, cutoff in enumerate(cutoffs):
+            might = reached[i] & usable[i]
+            if cutoff != LEAST:
+                might &= bound[i] + slack[i] >= float(cutoff) * (1 - SLACK * np.sign(cutoff))
+            some = np.flatnonzero(might)
+            whole = self.whole(queries[i], some)
+            yield some[whole >= cutoff], whole[whole >= cutoff]
 
 
 def _blocks(batch: pa.RecordBatch, dims: int) -> Iterator[dict[str, np.ndarray]]:
@@ -122,14 +201,16 @@ def top_k(
     columns are not looked at; an empty table gives no rows. A score beyond a long
     is the nearest long.
 
-    Blocks of candidates stay where they are dealt; blocks of queries go to each
+    Blocks of candidates are dealt out by number; blocks of queries go to each
     of their partitions. A task holds one block of either kind at a time.
     """
     spark = vectors.sparkSession
     rows = whole_numbers(vectors, vec_id, embedding, scale)
     dims = max(LISTS, rows.agg(F.max(F.size("v"))).first()[0] or 0)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    candidates = _packed(rows, BLOCK, dims, ["vec_id", "n"]).withColumn("part", F.pmod("part", F.lit(parts)))
+    candidates = _packed(rows, BLOCK, dims, ["vec_id", "n"]).withColumn(
+        "part", F.pmod("part", F.lit(parts))
+    ).repartition(parts, "part")  # a number given is kept: blocks are few bytes and much work
     within = Window.partitionBy("vec_id").orderBy("v")
     queries = rows.where(F.col("vec_id") % every == 0).select(
         F.col("vec_id"), F.row_number().over(within).cast("long").alias("twin"), "v", "n"
@@ -140,62 +221,38 @@ def top_k(
         sent = blocks.withColumnsRenamed({"vec_id": "q_id", "v": "qv"}).withColumn(
             "part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long")))
         )
-        return candidates.join(sent, "part").drop("part")
+        return candidates.join(sent.repartition(parts, "part"), "part").drop("part")
+
+    def found_in(b: dict[str, np.ndarray], found: Iterator[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        out: dict[str, list] = {"q_id": [], "twin": [], "vec_id": [], "score": [], "copies": []}
+        for i, (some, whole) in enumerate(found):
+            best = np.lexsort((b["vec_id"][some], -whole))[:k]
+            out["q_id"] += [b["q_id"][i]] * len(best)
+            out["twin"] += [b["twin"][i]] * len(best)
+            out["vec_id"] += list(b["vec_id"][some[best]])
+            out["score"] += list(whole[best])
+            out["copies"] += list(b["copies"][i, some[best]])
+        return columns(**{n: pa.array(np.array(v, np.int64)) for n, v in out.items()})
 
     def heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for b in _blocks(batch, dims):
-                scores = _parts(b["qv"], b["v"])
-                whole = as_long(inner(b["qv"], b["v"]))
-                out: dict[str, list] = {"q_id": [], "twin": [], "vec_id": [], "score": [], "at": []}
-                for i in range(len(b["q_id"])):
-                    there = np.flatnonzero(b["copies"][i] > 0)
-                    head = min(k, len(there))
-                    best = {
-                        int(x) for g in range(LISTS) if head
-                        for x in there[np.argsort(-scores[g, i, there], kind="stable")[:head]]
-                    }
-                    best = sorted(best, key=lambda j: -whole[i, j])[:k]
-                    out["q_id"] += [b["q_id"][i]] * len(best)
-                    out["twin"] += [b["twin"][i]] * len(best)
-                    out["vec_id"] += list(b["vec_id"][best])
-                    out["score"] += list(whole[i, best])
-                    out["at"] += best
-                yield columns(**{n: pa.array(np.array(v, np.int64)) for n, v in out.items()})
+                yield found_in(b, Lists(b["v"]).heads(b["qv"], b["copies"] > 0, k))
 
     def resolved(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for b in _blocks(batch, dims):
-                scores = _parts(b["qv"], b["v"])
-                out: dict[str, list] = {"q_id": [], "twin": [], "vec_id": [], "score": [], "copies": []}
-                for i, cutoff in enumerate(b["cutoff"].tolist()):
-                    share = -(-cutoff // LISTS)  # some part of a sum that reaches the cutoff does
-                    mine = scores[:, i]
-                    if cutoff == LEAST:
-                        some = np.flatnonzero(b["copies"][i] > 0)
-                    else:
-                        some = np.flatnonzero((mine >= share).any(axis=0) & (b["copies"][i] > 0))
-                        some = some[np.maximum(mine[:, some], share).sum(axis=0) >= cutoff]
-                    whole = as_long(inner(b["qv"][i : i + 1], b["v"][some])[0])
-                    some, whole = some[whole >= cutoff], whole[whole >= cutoff]
-                    best = np.lexsort((b["vec_id"][some], -whole))[:k]
-                    out["q_id"] += [b["q_id"][i]] * len(best)
-                    out["twin"] += [b["twin"][i]] * len(best)
-                    out["vec_id"] += list(b["vec_id"][some[best]])
-                    out["score"] += list(whole[best])
-                    out["copies"] += list(b["copies"][i, some[best]])
-                yield columns(**{n: pa.array(np.array(v, np.int64)) for n, v in out.items()})
+                yield found_in(b, Lists(b["v"]).reaching(b["qv"], b["copies"] > 0, b["cutoff"].tolist()))
 
+    result = "q_id long, twin long, vec_id long, score long, copies long"
     key = ["q_id", "twin"]
-    gathered = pairs(queries).mapInArrow(heads, "q_id long, twin long, vec_id long, score long, at long")
+    gathered = pairs(queries).mapInArrow(heads, result)
     in_order = Window.partitionBy(*key).orderBy(F.desc("score"))
     cutoffs = gathered.withColumn("place", F.row_number().over(in_order)).where(F.col("place") <= k).groupBy(
         *key
     ).agg(F.when(F.count("*") == k, F.min("score")).otherwise(F.lit(LEAST)).alias("cutoff"))
     asked = queries.join(cutoffs.withColumnRenamed("q_id", "vec_id"), ["vec_id", "twin"])
-    found = pairs(asked, "cutoff").mapInArrow(
-        resolved, "q_id long, twin long, vec_id long, score long, copies long"
-    )
+    found = pairs(asked, "cutoff").mapInArrow(resolved, result)
     best = Window.partitionBy(*key).orderBy(F.desc("score"), "vec_id")
     each = found.select(*key, "vec_id", "score", F.explode(F.sequence(F.lit(1).cast("long"), F.least("copies", F.lit(k)))))
     ranked = each.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
