@@ -175,6 +175,33 @@ zones AS (
 )"""
 
 
+# Trip lines that parse, and the zones whose lines do.
+TEXT_TRIPS = """
+t AS (
+  SELECT l_returnflag AS business, CAST(month(l_shipdate) AS INTEGER) AS month,
+         CAST(l_suppkey AS INTEGER) AS p, CAST(l_partkey AS INTEGER) AS d
+  FROM lineitem WHERE l_linenumber NOT IN (4, 6, 7)
+),
+z AS (SELECT c_custkey AS id FROM customer WHERE c_mktsegment <> 'MACHINERY')"""
+
+LOST_TRIPS = f"""
+WITH {TEXT_TRIPS}
+SELECT * FROM (
+  SELECT business, month,
+         CASE WHEN p IS NULL THEN 'missing' WHEN p IN (SELECT id FROM z) THEN 'known' ELSE 'unknown' END AS pickup,
+         CASE WHEN d IS NULL THEN 'missing' WHEN d IN (SELECT id FROM z) THEN 'known' ELSE 'unknown' END AS dropoff,
+         count(*) AS trip_count
+  FROM t GROUP BY ALL
+) WHERE pickup <> 'known' OR dropoff <> 'known'"""
+
+UNKNOWN_LOCATIONS = f"""
+WITH {TEXT_TRIPS}
+SELECT role, location, count(*) AS trip_count
+FROM (SELECT 'pickup' AS role, p AS location FROM t UNION ALL SELECT 'dropoff', d FROM t) e
+WHERE NOT EXISTS (SELECT 1 FROM z WHERE z.id = e.location)
+GROUP BY 1, 2"""
+
+
 def pagerank(
     rounds: int = 40, reset: float = 0.17, tol: float = 0.01, tables: str = TRIPS
 ) -> str:
@@ -211,6 +238,8 @@ def statements() -> dict[str, str]:
         "enriched_trips": enriched("SELECT * EXCLUDE (month) FROM enriched"),
         "trip_row_count": enriched("SELECT count(*) AS row_count FROM enriched"),
         "trip_schema": trip_schema(),
+        "lost_trips": LOST_TRIPS,
+        "unknown_locations": UNKNOWN_LOCATIONS,
         "parsed_lines": PARSED_LINES,
         "parsed_zone_lines": PARSED_ZONE_LINES,
         "monthly_trip_count": enriched(

@@ -53,7 +53,7 @@ def arguments(tmp_path, *more):
 
 def test_all_reports_from_text_files(spark, tmp_path):
     paths = run_reports.run(spark, arguments(tmp_path, "--stage", str(tmp_path / "stage")))
-    assert len(paths) == 24
+    assert len(paths) == 26
     by_name = {p.rsplit("/", 1)[1]: p for p in paths}
 
     def saved(name, schema):
@@ -74,6 +74,10 @@ def test_all_reports_from_text_files(spark, tmp_path):
     assert saved("shared_routes_top10", "Route string, p int, q int, n int") == [
         ("Alpha to Gamma", 1, 1, 2)
     ]
+    assert saved("lost_trips", "business string, month int, pickup string, dropoff string, n int") == [
+        ("Q", 2, "known", "unknown", 1)
+    ]
+    assert saved("unknown_locations", "role string, location int, n int") == [("dropoff", 77, 1)]
     assert saved("od_trip_count", "n int") == [(2,)]
     assert saved("same_area_edge_count", "n int") == [(2,)]
     assert saved("top_routes_by_pay", "Route string, pay double") == [

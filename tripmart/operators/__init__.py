@@ -1,5 +1,6 @@
 """Operators from DataFrame to DataFrame; names and thresholds are parameters."""
 
+from tripmart.operators.audit import location_state, lost_trips, unknown_locations
 from tripmart.operators.dimension import Dimension
 from tripmart.operators.enrich import enrich, join_zone, with_calendar
 from tripmart.operators.filters import between_exclusive, equals, exceeds, in_months
@@ -34,6 +35,8 @@ __all__ = [
     "exceeds",
     "in_months",
     "join_zone",
+    "location_state",
+    "lost_trips",
     "motif_count",
     "motif_edge",
     "pagerank",
@@ -45,6 +48,7 @@ __all__ = [
     "top_n_per_group",
     "trip_edges",
     "triplets",
+    "unknown_locations",
     "with_calendar",
     "zone_vertices",
 ]

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from tripmart.operators import count_trips, schema_report
-from tripmart.plans import monthly, rankings, routes, selections, time_of_day, waiting, zone_graph
+from tripmart.plans import audit, monthly, rankings, routes, selections, time_of_day, waiting, zone_graph
 from tripmart.plans.mart import Mart
 
 Report = Callable[[Mart], DataFrame]
@@ -43,6 +43,8 @@ def catalog(s: Settings) -> dict[str, Report]:
         "enriched_trips": enriched_trips,
         "trip_row_count": lambda m: count_trips(m.trips, m.pickup, m.dropoff, "row_count"),
         "trip_schema": lambda m: schema_report(enriched_trips(m)),
+        "lost_trips": audit.lost_trips,
+        "unknown_locations": audit.unknown_locations,
         "monthly_trip_count": monthly.monthly_trip_count,
         "monthly_platform_profit": monthly.monthly_platform_profit,
         "monthly_driver_earnings": monthly.monthly_driver_earnings,
