@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tripmart.llm.workers import free
 from tripmart.storage import ensure_checkpoint_dir
 
 
@@ -14,9 +15,11 @@ def components(links: DataFrame) -> DataFrame:
     Alternating stars: a round hangs every larger neighbour of a node, then every
     smaller one, below the least neighbour, until the links are stars. A round
     sums before it shuffles and joins on the node. Rounds grow with the logarithm of the
-    nodes; each is checkpointed. All links of a hub meet in one task of a round.
+    nodes; each is checkpointed, and the shuffle files of the one before are freed then.
+    All links of a hub meet in one task of a round.
     """
-    ensure_checkpoint_dir(links.sparkSession)
+    spark = links.sparkSession
+    ensure_checkpoint_dir(spark)
     edges = links.where("a <> b").select(
         F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")
     ).distinct()
@@ -28,6 +31,7 @@ def components(links: DataFrame) -> DataFrame:
         large = large.distinct()  # every node keeps its links to smaller nodes only
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(low, "a").where("b > m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        free(spark)
         edges = small.union(low.select("a", F.col("m").alias("b"))).distinct().checkpoint()
         now = tuple(edges.agg(
             F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))

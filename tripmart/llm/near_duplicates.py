@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from tripmart.llm import hashing
 from tripmart.llm.components import components
-from tripmart.llm.workers import columns, importable, map_batches
+from tripmart.llm.workers import columns, free, importable, map_batches
 from tripmart.storage import ensure_checkpoint_dir
 
 SHINGLE = 5
@@ -315,6 +315,7 @@ def _families(texts: DataFrame) -> DataFrame:
             links.append(compared(pivots.where("stuck").withColumn("part", F.explode(pairs))).select("a", "b"))
         members = pivots.where("NOT stuck").select("bucket", "digest", "count")
         round_number += 1
+        free(texts.sparkSession)
     whole = links[0]
     for more in links[1:]:
         whole = whole.unionAll(more)
@@ -453,6 +454,7 @@ def _links(source: DataFrame, families: DataFrame, texts: DataFrame, idf: np.nda
         found.where("b IS NULL").select(F.col("a").alias("digest"), F.lit(True).alias("apart")), "digest", "left"
     ).withColumn("apart", F.coalesce("apart", F.lit(False)))
     left = known.where("apart")
+    free(spark)
     counts = left.groupBy("label").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("left_parts")).checkpoint()
     if not counts.count():
         return links
@@ -499,8 +501,11 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     texts = signed.groupBy("digest").agg(
         F.min("doc_id").alias("rep"), F.count("*").alias("n_copies"), F.first("sig").alias("sig")
     )
+    free(spark)
     families = _families(texts).checkpoint()
+    free(spark)
     found = _links(source, families, texts, idf)
+    free(spark)
     classes = components(found).withColumnsRenamed({"node": "digest", "label": "class"})
     placed = texts.drop("sig").join(classes, "digest", "left").select(
         "digest", "rep", "n_copies", F.coalesce("class", "digest").alias("class")
