@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import random
 import re
 
@@ -144,6 +145,69 @@ def test_trees_learn_from_the_ruled_urls(spark):
     assert sum(right) / len(right) > 0.9
 
 
+def test_lexical_features_decide_within_one_suffix(spark):
+    draw = random.Random(5)
+    rows = []
+    for i in range(600):  # one suffix has both verdicts, another one only blocks
+        spam = "/".join(str(draw.randrange(10**9)) for _ in range(4)) + "?a=1&b=2&c=3"
+        plain = draw.choice(["news", "about", "team"]) + "/" + draw.choice(["today", "work"])
+        host = ["example.com/en/", "x.com/", "x.net/fr/"][i % 3]
+        rows.append((i, f"http://{host}{plain if i % 3 == 1 else spam}"))
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    got = {r.suffix: r for r in url_filter.held_out(pages).collect()}
+    com = got["com"]
+    assert 20 < com.n_blocked < com.n - 20
+    assert com.n_right > 0.9 * com.n and com.n_right_without > 0.9 * com.n
+
+
+def plain_suffix_stats(urls, folds):
+    """Share and log count by URL; ``urls``: (url, suffix, label, fold)."""
+    labelled = [u for u in urls if u[2] is not None]
+    total = sum(u[2] for u in labelled) / len(labelled)
+    out = {}
+    for url, suffix, label, fold in urls:
+        same = [u for u in labelled if u[1] == suffix and (label is None or u[3] != fold)]
+        drawn = 10 + sum(u[1] == suffix and u[2] is None for u in urls)
+        out[url] = ((sum(u[2] for u in same) + drawn * total) / (len(same) + drawn), math.log1p(len(same)))
+    return out
+
+
+def test_suffix_stats_equal_python_and_hide_the_own_label(spark):
+    draw = random.Random(8)
+    rows = [(i, f"http://h{i}.{draw.choice(['a', 'b', 'c'])}/", draw.choice([0.0, 1.0, None])) for i in range(90)]
+    rows += [(99, "http://alone.d/", 1.0)]
+    frame = spark.createDataFrame(rows, "page_id long, url string, label double").withColumn(
+        "suffix", url_filter.F.regexp_extract("url", r"\.([a-d])/", 1)
+    )
+    got = url_filter.with_suffix_stats(frame).collect()
+    assert len(got) == len(rows)
+    want = plain_suffix_stats([(r.url, r.suffix, r.label, r.fold) for r in got], url_filter.FOLDS)
+    for r in got:
+        assert abs(r.f_suffix_rate - want[r.url][0]) < 1e-9 and abs(r.f_suffix_count - want[r.url][1]) < 1e-9
+    alone = next(r for r in got if r.suffix == "d")
+    assert alone.f_suffix_count == 0
+
+
+def test_features_equal_python(spark):
+    rows = [(i, u) for i, u in enumerate(URLS)] + [(90, URLS[6]), (91, URLS[6])]
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    parts = url_filter.ruled(pages, page_id="page_id", url="url", rules=url_filter.RULES)
+    got = url_filter.lexical(parts).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        url = r.url or ""
+        shares = [url.count(c) / len(url) for c in set(url)]
+        assert abs(r.f_entropy + sum(p * math.log2(p) for p in shares)) < 1e-9
+        assert abs(r.f_digits - (sum("0" <= c <= "9" for c in url) / len(url) if url else 0)) < 1e-9
+        assert (r.f_length, r.f_host_length, r.f_labels) == (len(url), len(r.host), r.host.count("."))
+        assert r.f_depth == len([p for p in r.path.split("/")[1:] if p])
+        query = url.partition("?")[2].partition("#")[0]
+        assert r.f_params == len([p for p in query.split("&") if p]) and r.suffix == r.host.rsplit(".", 1)[-1]
+        assert r.f_hyphens == url.count("-") + url.count("_")
+    judged = url_filter.judged(pages, trees=2).where("page_id in (6, 90, 91)").collect()
+    assert len(judged) == 3 and len({(r.rule, r.verdict) for r in judged}) == 1
+
+
 def test_perspectives_of_three_speakers(spark):
     turns = [
         (1, 0, "system", "Be kind.", "x"), (1, 1, "ann", "Hi <|end|>", "x"), (1, 2, "bob", None, "x"),

@@ -8,12 +8,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+FOLDS = 5
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 FEATURES = (
     "f_length", "f_host_length", "f_labels", "f_depth", "f_digits", "f_entropy", "f_params",
@@ -88,23 +90,109 @@ def lexical(urls: DataFrame) -> DataFrame:
     })
 
 
-def with_suffix_stats(urls: DataFrame) -> DataFrame:
-    """Adds the share of blocked URLs and the number of labelled ones of the same suffix.
+def with_suffix_stats(urls: DataFrame, folds: int = FOLDS, prior: int = 10) -> DataFrame:
+    """Adds the share of blocked URLs of the same suffix and the number of labelled ones.
 
-    Over all labelled URLs; a labelled URL does not count itself, and the share is
-    drawn to the overall one as if by ten more URLs.
+    Labelled URLs are dealt into ``folds`` by a hash; a labelled URL gets the statistics
+    of the other folds, so that its own label is in none of its features. The share is
+    drawn to the overall one as if by ``prior`` more URLs and by all undecided ones of
+    the suffix: where most are undecided, the few labelled ones say little.
     """
-    total = urls.agg(F.avg("label").alias("rate")).first()["rate"] or 0.0
-    stats = urls.where("label is not null").groupBy("suffix").agg(
-        F.count("*").alias("n"), F.sum("label").alias("blocked")
+    total = _block_rate(urls)
+    dealt = urls.withColumn("fold", F.when(F.col("label").isNotNull(), _fold(folds)))
+    stats = dealt.groupBy("suffix", "fold").agg(F.count("*").alias("n"), F.sum("label").alias("blocked"))
+    every = stats.groupBy("suffix").agg(
+        F.sum(F.when(F.col("fold").isNotNull(), F.col("n"))).alias("n_all"), F.sum("blocked").alias("blocked_all"),
+        F.sum(F.when(F.col("fold").isNull(), F.col("n"))).alias("undecided"),
     )
-    own = F.coalesce("label", F.lit(0.0))
-    n = F.coalesce("n", F.lit(0)) - F.col("label").isNotNull().cast("int")
-    blocked = F.coalesce("blocked", F.lit(0.0)) - own
-    return urls.join(stats, "suffix", "left").withColumns({
-        "f_suffix_rate": (blocked + 10 * total) / (n + 10),
+    n = F.coalesce("n_all", F.lit(0)) - F.when(F.col("fold").isNull(), 0).otherwise(F.coalesce("n", F.lit(0)))
+    blocked = F.coalesce("blocked_all", F.lit(0.0)) - F.coalesce("blocked", F.lit(0.0))
+    drawn = prior + F.coalesce("undecided", F.lit(0))
+    own = stats.withColumnsRenamed({"suffix": "s", "fold": "f"})
+    same = (dealt["suffix"] == own["s"]) & dealt["fold"].eqNullSafe(own["f"])
+    return dealt.join(own, same, "left").join(every, "suffix", "left").withColumns({
+        "f_suffix_rate": (blocked + drawn * F.lit(total)) / (n + drawn),
         "f_suffix_count": F.log1p(n.cast("double")),
-    }).drop("n", "blocked")
+    }).drop("s", "f", "n", "blocked", "n_all", "blocked_all", "undecided")
+
+
+def _block_rate(urls: DataFrame) -> float:
+    return urls.agg(F.avg("label").alias("rate")).first()["rate"] or 0.0
+
+
+def _fold(folds: int) -> Column:
+    return F.pmod(F.xxhash64(F.coalesce("url", F.lit("")), F.lit(17)), F.lit(folds)).cast("int")
+
+
+def fitted(
+    featured: DataFrame, *, share: float, trees: int, depth: int, seed: int
+) -> PipelineModel:
+    """Trees over a share of the labelled URLs, taken by a hash of the URL.
+
+    Each is learnt twice, with the statistics of its suffix and as one of a suffix
+    without labelled URLs, so that the suffix does not stand for the label and URLs of
+    new suffixes are judged by their other features.
+    """
+    drawn = F.pmod(F.xxhash64("url", F.lit(seed)), F.lit(1_000_000)) < int(share * 1_000_000)
+    sample = featured.where("label is not null").where(drawn).select(*FEATURES, "label")
+    unknown = sample.withColumns({
+        "f_suffix_rate": F.lit(_block_rate(featured)), "f_suffix_count": F.lit(0.0),
+    })
+    assembler = VectorAssembler(inputCols=list(FEATURES), outputCol="features", handleInvalid="keep")
+    learner = GBTClassifier(maxIter=trees, maxDepth=depth, seed=seed, stepSize=0.3)
+    return Pipeline(stages=[assembler, learner]).fit(sample.unionByName(unknown).coalesce(8))
+
+
+def scored(featured: DataFrame, model: PipelineModel) -> DataFrame:
+    """Adds ``block_score``, the trees' probability of a block."""
+    return model.transform(featured).withColumn("block_score", vector_to_array("probability")[1]).drop(
+        "features", "rawPrediction", "probability", "prediction"
+    )
+
+
+def held_out(
+    pages: DataFrame, *, page_id: str = "page_id", url: str = "url", rules: tuple[Rule, ...] = RULES,
+    max_training_urls: int = 20_000, trees: int = 12, depth: int = 3, seed: int = 42,
+) -> DataFrame:
+    """``suffix, n, n_blocked, n_right, n_right_without``: verdicts of the trees on labelled URLs not learnt from.
+
+    One fold of five is held out, its labels are hidden from all statistics too.
+    ``n_right_without`` counts right verdicts if the suffix is treated as an unknown one.
+    Both kinds of label have to be among the others.
+    """
+    known = ruled(pages, page_id=page_id, url=url, rules=rules).where("label is not null")
+    hidden = lexical(known.withColumns({
+        "truth": F.col("label"), "label": F.when(_fold(FOLDS) != 0, F.col("label")),
+    }))
+    featured = with_suffix_stats(hidden)
+    count = featured.where("label is not null").count()
+    share = min(1.0, max_training_urls / max(count, 1))
+    model = fitted(featured, share=share, trees=trees, depth=depth, seed=seed)
+    test = featured.where("label is null")
+    without = test.withColumns({
+        "f_suffix_rate": F.lit(_block_rate(featured)), "f_suffix_count": F.lit(0.0),
+    })
+
+    def right(rows: DataFrame, name: str) -> DataFrame:
+        ok = (F.col("block_score") >= 0.5) == (F.col("truth") == 1)
+        return scored(rows, model).groupBy("suffix").agg(
+            F.count("*").alias("n"), F.count_if(F.col("truth") == 1).alias("n_blocked"), F.count_if(ok).alias(name)
+        )
+
+    return right(test, "n_right").join(right(without, "n_right_without").drop("n", "n_blocked"), "suffix")
+
+
+def ruled(pages: DataFrame, *, page_id: str, url: str, rules: tuple[Rule, ...]) -> DataFrame:
+    """``page_id, url, host, path, rule, decided, label`` of every page; no rule, no label."""
+    parsed = pages.select(
+        F.col(page_id).alias("page_id"), F.col(url).alias("url"),
+        host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path"),
+    )
+    longest_first = sorted(rules, key=lambda r: (-len(r.site), r.site))
+    return parsed.withColumns({
+        "rule": F.coalesce(*(F.when(r.fits(), F.lit(r.site)) for r in longest_first)),
+        "decided": F.coalesce(*(F.when(r.fits(), F.lit(r.verdict)) for r in longest_first)),
+    }).withColumn("label", (F.col("decided") == "block").cast("double"))
 
 
 def judged(
@@ -124,38 +212,22 @@ def judged(
     trees do, block from a score of 0.5. They learn from about
     ``max_training_urls`` labelled URLs at most, taken by a hash of the URL. If no
     URL or only one kind is labelled, the rest gets the verdict of that kind, or
-    allow. Null and schemeless URLs have empty host and path and are judged like
+    allow. Equal sites with different verdicts: the first rule given decides. Very long
+    URLs are judged whole. Null and schemeless URLs have empty host and path and are judged like
     others; repeated rows stay; an empty table gives no rows; other columns are
     not looked at.
     """
-    parsed = pages.select(
-        F.col(page_id).alias("page_id"), F.col(url).alias("url"),
-        host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path"),
-    )
-    longest_first = sorted(rules, key=lambda r: (-len(r.site), r.site))
-    ruled = parsed.withColumns({
-        "rule": F.coalesce(*(F.when(r.fits(), F.lit(r.site)) for r in longest_first)),
-        "decided": F.coalesce(*(F.when(r.fits(), F.lit(r.verdict)) for r in longest_first)),
-    }).withColumn("label", (F.col("decided") == "block").cast("double"))
-    featured = with_suffix_stats(lexical(ruled))
-    labelled = featured.where("label is not null")
-    kinds = {r["label"]: r["count"] for r in ruled.groupBy("label").count().collect()}
+    sorted_out = ruled(pages, page_id=page_id, url=url, rules=rules)
+    featured = with_suffix_stats(lexical(sorted_out))
+    kinds = {r["label"]: r["count"] for r in sorted_out.groupBy("label").count().collect()}
     kinds.pop(None, None)
     if len(kinds) < 2:
-        score = F.lit(1.0 if kinds.keys() == {1.0} else 0.0)
-        scored = featured.withColumn("block_score", score)
+        judgements = featured.withColumn("block_score", F.lit(1.0 if kinds.keys() == {1.0} else 0.0))
     else:
-        assembler = VectorAssembler(inputCols=list(FEATURES), outputCol="features", handleInvalid="keep")
         share = min(1.0, max_training_urls / sum(kinds.values()))
-        drawn = F.pmod(F.xxhash64("url", F.lit(seed)), F.lit(1_000_000)) < int(share * 1_000_000)
-        sample = assembler.transform(labelled.where(drawn)).select("features", "label").coalesce(8)
-        learner = GBTClassifier(maxIter=trees, maxDepth=depth, seed=seed, stepSize=0.3)
-        model = learner.fit(sample)
-        scored = model.transform(assembler.transform(featured)).withColumn(
-            "block_score", vector_to_array("probability")[1]
-        )
+        judgements = scored(featured, fitted(featured, share=share, trees=trees, depth=depth, seed=seed))
     verdict = F.coalesce("decided", F.when(F.col("block_score") >= 0.5, "block").otherwise("allow"))
-    return scored.select(
+    return judgements.select(
         "page_id", "url", "host", "path", "rule", verdict.alias("verdict"),
         F.col("decided").isNotNull().alias("by_rule"),
         F.when(F.col("decided").isNull(), F.col("block_score")).alias("block_score"),
