@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from decimal import ROUND_HALF_UP, Decimal
+
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -142,3 +144,26 @@ def test_trips_are_counted_by_pair(spark):
         z = zones(spark, small)
         assert count_trips(trips, z, z, "n").first()[0] == enrich(trips, z, z).count() == 6
         assert count_trips(trips, z, z, "n", F.col("Pickup_Borough") == "Nowhere").first()[0] == 0
+
+
+MONEY = st.one_of(
+    st.none(),
+    st.floats(allow_nan=True, allow_infinity=True),
+    st.floats(-1e12, 1e12),
+    st.integers(-(10**9), 10**9).map(lambda n: n / 100000),  # ties in the fifth place among them
+    st.sampled_from([1e23, -1e23, 9.99999999999e9, 1.00005, -1.00005, 0.00005, 1e300, 10**10 - 0.00005]),
+)
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(MONEY, max_size=30))
+def test_money_is_the_sum_of_rounded_decimals(spark, values):
+    total = Total("s", "v", digits=4)
+    frame = spark.createDataFrame([(i % 3, v) for i, v in enumerate(values)], "k int, v double")
+    parts = frame.groupBy("k").agg(*(c.alias(n) for n, c in total.partial().items()))
+    got = parts.agg(total.merged().alias("s")).first()["s"]
+    wide = F.sum(F.col("v").try_cast("decimal(28,4)")).cast("double")
+    assert got == frame.agg(wide.alias("s")).first()["s"]
+    if all(v is None or abs(v) < 1e9 for v in values):
+        places = [Decimal(repr(v)).quantize(Decimal("0.0001"), ROUND_HALF_UP) for v in values if v is not None]
+        assert got == (float(sum(places)) if places else None)

@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from decimal import Decimal
+from functools import reduce
+from operator import add
 from typing import Protocol
 
 from pyspark.sql import Column, DataFrame
@@ -11,6 +14,7 @@ from pyspark.sql import functions as F
 from tripmart.operators.dimension import Dimension
 from tripmart.operators.enrich import enrich
 
+LIMB = 10**7
 LOCATIONS = ("pickup_location", "dropoff_location")
 
 
@@ -39,9 +43,11 @@ class Count:
 
 @dataclass(frozen=True)
 class Total:
-    """``digits`` sums decimals of so many places exactly, in any order of the rows.
+    """``digits`` sums decimals of so many places (six at most) exactly, in any order of the rows.
 
-    Each value is rounded to the places first; one that is no number is null.
+    Each value is rounded to the places first; one that is no number is null. Rows are
+    summed as whole numbers of the last place, in four limbs of seven digits, which
+    stay longs for 10^11 rows a group; only the partial sums meet as wide decimals.
     """
 
     name: str
@@ -49,14 +55,43 @@ class Total:
     digits: int | None = None
 
     def partial(self) -> dict[str, Column]:
-        value = F.col(self.column)
-        if self.digits is not None:
-            value = value.try_cast(f"decimal(28,{self.digits})")
-        return {f"{self.name}_s": F.sum(value)}
+        if self.digits is None:
+            return {f"{self.name}_s": F.sum(self.column)}
+        low, high = _places(F.col(self.column), self.digits)
+        limbs = [limb for half in (low, high) for limb in (half % LIMB, _whole(half, LIMB))]
+        return {f"{self.name}_s{i}": F.sum(limb) for i, limb in enumerate(limbs)}
 
     def merged(self) -> Column:
-        total = F.sum(f"{self.name}_s")
-        return total if self.digits is None else total.cast("double")
+        if self.digits is None:
+            return F.sum(f"{self.name}_s")
+        kind = f"decimal(38,{self.digits})"
+        limbs = [
+            F.sum(F.col(f"{self.name}_s{i}").cast("decimal(20,0)"))
+            * F.lit(Decimal(LIMB**i).scaleb(-self.digits))
+            for i in range(4)
+        ]
+        return reduce(add, (limb.cast(kind) for limb in limbs)).cast("double")
+
+
+def _whole(value: Column, by: int) -> Column:
+    return F.call_function("div", value, F.lit(by).cast("long"))
+
+
+def _places(value: Column, digits: int) -> tuple[Column, Column]:
+    """``value`` in units of the last of ``digits`` places: its last 14 digits, and those before.
+
+    Rounded half up, as a cast to decimal does. Numbers below 10^14 units that are clearly
+    nearer to one unit than to the next need no decimal; a double errs by 0.03 units there.
+    """
+    units = value.try_cast("double") * float(10**digits)
+    nearest = F.rint(units)
+    clear = (F.abs(units) < float(LIMB**2)) & (F.abs(units - nearest) < 0.45)
+    exact = value.try_cast(f"decimal(28,{digits})") * F.lit(Decimal(10**digits))
+    exact = exact.cast("decimal(28,0)")
+    step = F.lit(Decimal(LIMB**2))
+    low = F.when(clear, nearest.try_cast("long")).otherwise((exact % step).cast("long"))
+    high = F.when(clear, F.lit(0).cast("long")).otherwise(F.call_function("div", exact, step))
+    return low, high
 
 
 @dataclass(frozen=True)
