@@ -37,11 +37,13 @@ class AllCosines:
     """The nearest vectors by the cosines of all."""
 
     def __init__(self, index: tx.BlockMaxIndex) -> None:
-        self.vectors = np.zeros((index.size, len(index.at)))
-        for w, edges in enumerate(index.at):
-            self.vectors[index.ids[edges[0] : edges[-1]], w] = index.weights[edges[0] : edges[-1]]
+        edges = index.at[index.first]
+        self.vectors = np.zeros((index.size, len(edges) - 1))
+        for w, (low, high) in enumerate(zip(edges[:-1], edges[1:], strict=True)):
+            self.vectors[index.ids[low:high], w] = index.weights[low:high]
 
-    def nearest(self, words, weights, k):
+    def nearest(self, words, weights, k, without=-1):
+        assert without == -1  # no example is scored here
         cosines = self.vectors[:, words] @ weights
         ids = [i for i in np.lexsort((np.arange(len(cosines)), -cosines)) if cosines[i] > 0][:k]
         return np.array(ids, np.int64), cosines[ids]
@@ -71,7 +73,8 @@ def test_run_equals_a_chain_of_brute_force(spark, tmp_path):
 
     model = tx.fit(docs, labels)
     model.index = AllCosines(model.index)
-    clean = {r[0]: r[1] for r in rows if model.score(r[1])[0] < tx.THRESHOLD}
+    vectors = model.vectors([r[1].encode() for r in rows])
+    clean = {r[0]: r[1] for r, v in zip(rows, vectors, strict=True) if model.score(*v)[0] < tx.THRESHOLD}
     ids = sorted(clean)
     idf = nd.idf_table(docs.where(docs.doc_id.isin(ids)).select("text"))
     heads: dict[int, int] = {}
