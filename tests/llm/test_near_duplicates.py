@@ -7,6 +7,8 @@ import pytest
 
 from tests.llm.cases import AWKWARD, documents, invented
 from tripmart.llm import near_duplicates as nd
+from tripmart.llm import components as stars
+from tripmart.llm import workers
 from tripmart.llm.components import components
 
 
@@ -95,6 +97,34 @@ def test_components_equal_union_find(spark):
         assert got == {x: root_of(parent, x) for x in joined}
 
 
+@pytest.mark.parametrize(("links", "most"), [
+    ([("a", x) for x in "bcdefg"], 1),  # one star
+    ([(x, "z") for x in "abcdef"], 2),  # below the largest
+    ([("a", "b"), ("c", "d"), ("c", "e"), ("x", "x"), ("d", None)], 1),
+    ([], 1),
+])
+def test_components_end_with_the_round_that_leaves_stars(spark, monkeypatch, links, most):
+    rounds = []
+    monkeypatch.setattr(stars, "free", lambda _: rounds.append(1))
+    got = {r.node: r.label for r in components(spark.createDataFrame(links, "a string, b string")).collect()}
+    joined = {x for a, b in links if b and a != b for x in (a, b)}
+    assert got.keys() == joined and all(got[a] == got[b] for a, b in links if b and a != b)
+    assert all(got[x] == x or got[got[x]] == got[x] < x for x in got)
+    assert len(rounds) <= most
+
+
+def test_what_the_driver_s_python_has_freed_goes_back(spark):
+    def held_mb() -> float:
+        with open("/proc/self/smaps_rollup") as lines:
+            return next(int(x.split()[1]) for x in lines if x.startswith("Pss_Anon")) / 1024
+
+    held = [bytes(2000) for _ in range(50_000)]
+    before = held_mb()
+    held = held[::100]  # what stays lies among what goes
+    workers.free(spark)
+    assert len(held) == 500 and held_mb() < before - 50
+
+
 def test_sets_alike_are_linked_however_often_a_line_repeats(spark):
     line = " ".join(f"r{i}" for i in range(10))
 

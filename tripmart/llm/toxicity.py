@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripmart.llm.lexical import BLANKS, END
-from tripmart.llm.workers import columns, importable, map_batches
+from tripmart.llm.workers import columns, free, importable, map_batches
 from tripmart.storage import ensure_checkpoint_dir
 
 THRESHOLD = 0.3
@@ -383,6 +383,8 @@ def fit(
     df[counted["term"].to_numpy()] = counted["n"].to_numpy()
     idf = np.log((1 + docs.count()) / (1 + df)) + 1
     model.weight = idf * (PLAIN + (1 - PLAIN) * np.minimum(1, telltale / TELLING))
+    del example, place, rank, term, pairs, known, starts, start_names, counted
+    free(spark)  # before the texts come
     # like vectors into the same blocks: by label, then by their most common word, which tells languages apart
     texts, vectors = in_order.select("text").toArrow()["text"], []
     for chunk in texts.chunks:
