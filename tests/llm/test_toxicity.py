@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tests.llm.cases import AWKWARD, documents
 from tripmart.llm import toxicity as tx
+from tripmart.llm.lexical import terms_of
 
 
 def test_index_equals_all_cosines():
@@ -148,3 +149,47 @@ def test_awkward_rows_and_labels(spark, model):
     assert {r.score for r in tx.scored(docs, none).collect()} == {0.0}
     kept = tx.without_toxic(docs, labels.limit(0))
     assert kept.columns == docs.columns and kept.count() == len(AWKWARD)
+
+
+def test_queries_together_equal_each_alone(monkeypatch):
+    draw = np.random.default_rng(3)
+    vectors = draw.random((200, 40)) * (draw.random((200, 40)) < [0.5] * 5 + [0.05] * 35)
+    vectors[100:] = vectors[:100]  # every vector twice: the lower number comes first
+    index = tx.BlockMaxIndex.of(*np.nonzero(vectors), vectors[np.nonzero(vectors)], 200, 40)
+    asked = [np.sort(draw.choice(40, draw.integers(0, 12), replace=False)) for _ in range(70)]
+    terms, edges = np.concatenate(asked), np.cumsum([0, *map(len, asked)])
+    weights, without = draw.random(len(terms)), np.where(draw.random(70) < 0.3, draw.integers(0, 200, 70), -1)
+    alone = [
+        index.nearest(terms[a:b], weights[a:b], 15, w)
+        for a, b, w in zip(edges[:-1], edges[1:], without.tolist(), strict=True)
+    ]
+    for queries, postings in ((256, 400_000), (7, 400_000), (256, 20)):
+        monkeypatch.setattr(tx, "QUERIES", queries)
+        monkeypatch.setattr(tx, "POSTINGS", postings)
+        together = index.nearest_each(terms, weights, edges, 15, without)
+        assert all((a[0] == b[0]).all() and (a[1] == b[1]).all() for a, b in zip(alone, together, strict=True))
+    for (ids, near), a, b, w in zip(alone, edges[:-1], edges[1:], without.tolist(), strict=True):
+        cosines = vectors[:, terms[a:b]] @ weights[a:b]
+        want = sorted(((-round(c, 6), i) for i, c in enumerate(cosines) if c > 0 and i != w))[:15]
+        assert np.allclose(near, [-c for c, _ in want], atol=1e-5) and w not in ids
+        assert all(i < j for i, j, x, y in zip(ids[:-1], ids[1:], near[:-1], near[1:], strict=True) if x == y)
+
+
+def test_terms_equal_plain_dictionaries(monkeypatch):
+    monkeypatch.setattr(tx, "PIECE", 50)
+    words = [b"a", b"ab", b"ba", "straße".encode(), "\U0001f469‍\U0001f469x".encode(), b"idiots", b"x" * 300]
+    beginnings = ["idio", "straß", "\U0001f469‍\U0001f469x", "xxxxxx"]
+    texts = ["", "a", "A ab,BA--a", "Straßen Straße straß Idiots IDIO idioten", " \t", "x" * 300 + " " + "X" * 301,
+             "\U0001f469‍\U0001f469x \U0001f469‍\U0001f469xy Ä ä", "ab " * 400 + "idiots", "\x00a\x7fb"]
+    number = {w: i for i, w in enumerate(words)}
+    starts = {b: len(words) + i for i, b in enumerate(beginnings)}
+    found = tx.Terms(words, beginnings)
+    terms, times, edges = found.counts([t.encode() for t in texts])
+    for i, text in enumerate(texts):
+        want = Counter()
+        for w in terms_of(text):
+            want.update([number[w]] if w in number else [])
+            want.update(t for b, t in starts.items() if w.decode().startswith(b) and len(w.decode()) > len(b))
+        own = slice(edges[i], edges[i + 1])
+        assert list(zip(terms[own].tolist(), times[own].tolist(), strict=True)) == sorted(want.items())
+    assert found.counts([])[2].tolist() == [0] and len(tx.Terms([], []).counts([b"a b"])[0]) == 0

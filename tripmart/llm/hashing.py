@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import cache
+
 import numpy as np
 import xxhash
 
@@ -62,6 +64,72 @@ def hashed_words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return mixed(np.add.reduceat(value[low:] * _POWER[place & 0xFFFF], starts - low)), edges
 
 
+@cache
+def _steps(bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first ``1 << bits`` powers of an odd number, and what undoes them."""
+    steps = np.full((2, 1 << bits), 1, np.uint64)
+    steps[0, 1:], steps[1, 1:] = GOLDEN, pow(GOLDEN, -1, 1 << 64)
+    return tuple(np.cumprod(steps, axis=1))
+
+
+def byte_values(kept: set[int] | frozenset[int] | bytes) -> np.ndarray:
+    """A random odd number for each byte ``kept``, A-Z with that of a-z; 0 for the others, which part words."""
+    table = np.random.default_rng(17).integers(0, 1 << 63, 256, dtype=np.uint64) << np.uint64(1) | np.uint64(1)
+    table[0x41:0x5B] = table[0x61:0x7B]
+    table[[b for b in range(256) if b not in kept]] = 0
+    return table
+
+
+def spellings(buffer: np.ndarray, value: np.ndarray, beginnings: list[int]) -> tuple[np.ndarray, np.ndarray, list]:
+    """Starts and hashes of the words in ``buffer``; for each of ``beginnings`` which words have more code points, and the hashes of so many.
+
+    By array operations over the bytes, whose ``value`` 0 parts words. Beginnings have the hashes that they have as words.
+    """
+    of_bytes = value[buffer]
+    edges = np.flatnonzero(np.diff(of_bytes != 0, prepend=False, append=False))
+    starts, ends = edges[::2], edges[1::2]
+    bits = max(17, len(buffer).bit_length())
+    powers, undone = (_steps if bits <= 20 else _steps.__wrapped__)(bits)
+    total = np.zeros(len(buffer) + 1, np.uint64)
+    np.cumsum(of_bytes * powers[: len(buffer)], out=total[1:])
+    back, before = undone[starts], total[starts]
+    found = []
+    if beginnings and len(starts):
+        lead = (buffer & 0xC0) != 0x80
+        first, lead = np.cumsum(lead, dtype=np.int32)[starts] - 1, np.flatnonzero(lead)
+        for n in beginnings:
+            stop = lead[np.minimum(first + n, len(lead) - 1)]
+            longer = np.flatnonzero((first + n < len(lead)) & (stop < ends))
+            found.append((longer, mixed((total[stop[longer]] - before[longer]) * back[longer])))
+    return starts, mixed((total[ends] - before) * back), found
+
+
+class Numbers:
+    """Numbers of hashes, looked up for whole arrays; -1 for those not held. Twice held, a hash has the later number."""
+
+    def __init__(self, hashes: np.ndarray, first: int = 0) -> None:
+        self.hashes, self.first, bits = hashes, first, max(4, (2 * len(hashes)).bit_length())
+        self.shift, self.owner = np.uint64(64 - bits), np.full(1 << bits, -1, np.int32)
+        left, place = np.arange(len(hashes), dtype=np.int32), (hashes >> self.shift).astype(np.int64)
+        while len(left):
+            free = self.owner[place] < 0
+            self.owner[place[free]] = left[free]
+            lost = self.owner[place] != left
+            left, place = left[lost], (place[lost] + 1) & (len(self.owner) - 1)
+
+    def __call__(self, hashes: np.ndarray) -> np.ndarray:
+        found, left = np.full(len(hashes), -1), np.arange(len(hashes))
+        place = (hashes >> self.shift).astype(np.int64)
+        while len(left):
+            owner = self.owner[place]
+            some = owner >= 0
+            left, place, owner = left[some], place[some], owner[some]
+            hit = self.hashes[owner] == hashes[left]
+            found[left[hit]] = owner[hit] + self.first
+            left, place = left[~hit], (place[~hit] + 1) & (len(self.owner) - 1)
+        return found
+
+
 def mixed(values: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit numbers whose every output bit depends on every input bit."""
     values = (values ^ (values >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)

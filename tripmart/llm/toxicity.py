@@ -9,9 +9,10 @@ the score, the nearest examples are the evidence.
 
 from __future__ import annotations
 
-from array import array
+import math
+import re
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import partial
 
 import numpy as np
@@ -21,7 +22,8 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripmart.llm.lexical import BLANKS, END
+from tripmart.llm.hashing import Numbers, byte_values, spellings
+from tripmart.llm.lexical import BLANKS, TERM_BYTES
 from tripmart.llm.workers import columns, free, importable, map_batches
 from tripmart.storage import ensure_checkpoint_dir
 
@@ -32,10 +34,15 @@ BEGINNINGS = (4, 5, 6)
 PLAIN, TELLING = 0.1, 20.0
 #: A vote at the overall rate, so that far neighbours alone say little.
 REST = 0.01
-CHUNK = 500_000
+#: Bytes of the texts scored at once, and of those whose words are found at once, so that arrays stay in cache.
+CHUNK, PIECE = 800_000, 120_000
+VALUES, SEPARATOR = byte_values(TERM_BYTES), re.compile(rb"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]")
 #: Vectors of a block of the index.
 PER_BLOCK = 64
-HELD_WORDS = 200_000
+#: Queries of one product with the long lists, and postings of the short lists of those looked at together.
+QUERIES, POSTINGS = 256, 400_000
+#: More than what sums of 32 bits are off by.
+ROUNDING = 1e-5
 
 
 def held_out(doc_id: Column) -> Column:
@@ -77,8 +84,8 @@ class BlockMaxIndex:
         at = np.flatnonzero(new)
         first = np.searchsorted(term[at], np.arange(terms + 1))
         largest = np.maximum.reduceat(weight, at) if len(at) else np.empty(0)
-        return cls(size, -(-size // PER_BLOCK), vector.astype(np.int32), weight, first, block[at],
-                   np.append(at, len(term)), largest)
+        return cls(size, -(-size // PER_BLOCK), vector.astype(np.int32), weight, first, block[at].astype(np.int32),
+                   np.append(at, len(term)).astype(np.int32), largest)
 
     def __getstate__(self) -> dict:
         return {k: v for k, v in self.__dict__.items() if k not in ("row", "rows", "per_block")}
@@ -89,7 +96,7 @@ class BlockMaxIndex:
         n = np.diff(starts)
         self.per_block = PER_BLOCK
         long = np.flatnonzero(n * 16 > self.size)
-        self.row = np.full(len(n), -1)
+        self.row = np.full(len(n), -1, np.int32)
         self.row[long] = np.arange(len(long))
         self.rows = np.zeros((len(long), self.blocks * self.per_block), np.float32)
         for i, t in enumerate(long.tolist()):
@@ -99,97 +106,135 @@ class BlockMaxIndex:
     def nearest(
         self, terms: np.ndarray, weights: np.ndarray, k: int, without: int = -1, opened: list | None = None
     ) -> tuple[np.ndarray, np.ndarray]:
-        """The k vectors of largest positive cosine and those, ties to the lower number; ``without`` takes no part.
+        """The k vectors of largest positive cosine and those, ties to the lower number; ``without`` takes no part."""
+        return self.nearest_each(terms, weights, np.array([0, len(terms)]), k, np.array([without]), opened)[0]
 
-        Long lists are added up for all vectors. What they give bounds a block together with
-        the largest weights of its runs; runs of blocks that cannot reach the k-th best stay shut.
+    def nearest_each(
+        self, terms: np.ndarray, weights: np.ndarray, edges: np.ndarray, k: int,
+        without: np.ndarray | None = None, opened: list | None = None,
+    ) -> list[tuple[np.ndarray, np.ndarray]]:
+        """``nearest`` for queries whose terms lie between ``edges``.
+
+        Some at a time, so that arrays stay small: a query alone has no more postings than the index.
+        Long lists are added up for all vectors, for all queries in one product.
         """
+        n = len(edges) - 1
         if not self.size:
-            return np.empty(0, np.int64), np.empty(0)
+            return [(np.empty(0, np.int64), np.empty(0))] * n
         if not hasattr(self, "rows"):
             self._long()
-        row = self.row[terms]
-        scores = (weights[row >= 0].astype(np.float32) @ self.rows[row[row >= 0]]).astype(np.float64)
-        terms, weights = terms[row < 0], weights[row < 0]
-        n = self.first[terms + 1] - self.first[terms]
-        runs, weight = _ranges(self.first[terms], self.first[terms + 1]), np.repeat(weights, n)
-        block = self.block[runs]
-        if without >= 0:
-            scores[without] = 0
-        bounds = scores.reshape(self.blocks, self.per_block).max(axis=1)
-        bounds += np.bincount(block, weight * self.largest[runs], minlength=self.blocks)
+        without = np.full(n, -1) if without is None else without
+        row, lists = self.row[terms], self.at[self.first]
+        postings = np.append(0, np.cumsum(np.where(row < 0, lists[terms + 1] - lists[terms], 0)))[edges]
+        out = []
+        for begin in range(0, n, QUERIES):
+            end = min(n, begin + QUERIES)
+            own = slice(edges[begin], edges[end])
+            query, long = np.repeat(np.arange(end - begin), np.diff(edges[begin : end + 1])), row[own] >= 0
+            asked = np.zeros((end - begin, len(self.rows)), np.float32)
+            asked[query[long], row[own][long]] = weights[own][long]
+            product, low = asked @ self.rows, begin
+            while low < end:
+                high = int(np.searchsorted(postings, postings[low] + POSTINGS, "right")) - 1
+                high = min(end, max(high, low + 1))
+                own = slice(edges[low], edges[high])
+                out += self._nearest(terms[own], weights[own], row[own], edges[low : high + 1] - edges[low],
+                                     product[low - begin : high - begin], k, without[low:high], opened)
+                low = high
+        return out
+
+    def _nearest(self, terms, weights, row, edges, scores, k, without, opened) -> list[tuple[np.ndarray, np.ndarray]]:
+        """The nearest where ``scores`` are what the long lists give.
+
+        These bound a block together with the largest weights of its runs; runs of blocks that
+        cannot reach the k-th best stay shut. The product's rounding depends on the queries in it, so all
+        within ``ROUNDING`` of the k-th best are added up again for their query alone before they are ranked.
+        """
+        queries, width = len(edges) - 1, self.blocks * self.per_block
+        some = np.flatnonzero(without >= 0)
+        scores[some, without[some]] = 0
+        long = row >= 0
+        query, short, weight = np.repeat(np.arange(queries), np.diff(edges))[~long], terms[~long], weights[~long]
+        n = self.first[short + 1] - self.first[short]
+        runs, weight = _ranges(self.first[short], self.first[short + 1]), np.repeat(weight, n)
+        query = np.repeat(query, n)
+        block = query * self.blocks + self.block[runs]
+        bounds = np.bincount(block, weight * self.largest[runs], minlength=queries * self.blocks).reshape(queries, -1)
+        bounds = bounds + scores.reshape(queries, self.blocks, -1).max(axis=2)
         # the most promising blocks give a cutoff, then all others that can reach it are opened
-        some = np.zeros(self.blocks, bool)
-        some[np.argsort(-bounds, kind="stable")[: max(2, -(-2 * k // self.per_block))]] = True
-        cutoff, done = 0.0, np.zeros(self.blocks, bool)
+        some, done = np.zeros(bounds.shape, bool), np.zeros(bounds.shape, bool)
+        np.put_along_axis(some, np.argsort(-bounds, axis=1, kind="stable")[:, : max(2, -(-2 * k // self.per_block))], True, 1)
+        cutoff, added = np.zeros(queries), np.zeros((queries, width))
         for _ in range(2):
-            here = (some & ~done)[block]
+            here = np.flatnonzero((some & ~done).reshape(-1)[block])
             own = runs[here]
-            n = self.at[own + 1] - self.at[own]
-            places = _ranges(self.at[own], self.at[own + 1])
-            scores += np.bincount(
-                self.ids[places], self.weights[places] * np.repeat(weight[here], n), minlength=len(scores)
-            )
-            if without >= 0:
-                scores[without] = 0
+            low, high = self.at[own], self.at[own + 1]
+            places = _ranges(low, high)
+            added += np.bincount(
+                np.repeat(query[here] * width, high - low) + self.ids[places],
+                self.weights[places] * np.repeat(weight[here], high - low), minlength=added.size,
+            ).reshape(added.shape)
             done |= some
-            whole = scores.reshape(self.blocks, -1)[done].reshape(-1)
-            if len(whole) > k:
-                cutoff = np.partition(whole, len(whole) - k)[len(whole) - k]
-            some = (bounds >= cutoff - 1e-6) & (bounds > 0)
+            whole = added + scores
+            whole.reshape(queries, self.blocks, -1)[~done] = 0
+            for q in np.flatnonzero(without >= 0):
+                whole[q, without[q]] = 0
+            if width > k:
+                cutoff = np.partition(whole, width - k, axis=1)[:, width - k]
+            some = (bounds >= cutoff[:, None] - ROUNDING) & (bounds > 0)
             if not (some & ~done).any():
                 break
         if opened is not None:
-            opened.append(int(done.sum()))
-        scores.reshape(self.blocks, -1)[~done] = 0
-        best = np.flatnonzero(scores >= max(cutoff, 1e-300))
-        best = best[np.lexsort((best, -scores[best]))][:k]
-        return best, scores[best]
-
-
-class Terms(dict):
-    """Numbers of the words seen; ``table`` has for each its term and those of its beginnings, or -1.
-
-    Number 0 ends a text, 1 is any word without terms. Emptied when it is full.
+            opened += done.sum(axis=1).tolist()
+        out = []
+        for q, (low, high) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)):
+            best = np.flatnonzero((whole[q] >= cutoff[q] - ROUNDING) & (whole[q] > 0))
+            own = long[low:high]
+            # whole blocks, which products take alike wherever a vector stands
+            whole_blocks = np.resize(best, -(-len(best) // self.per_block) * self.per_block)
+            again = weights[low:high][own].astype(np.float32) @ self.rows[row[low:high][own, None], whole_blocks]
+            exact = added[q, best] + again[: len(best)]
+            order = np.lexsort((best, -exact))[:k]
+            out.append((best[order], exact[order]))
+        return out
+
+
+class Terms:
+    """Numbers of the terms in texts: the words, then the beginnings of longer words.
+
+    Words are looked up by 64 bits that their bytes give: that two are equal rests on these.
     """
 
-    def __init__(self, words: dict[bytes, int], beginnings: dict[str, int]) -> None:
-        super().__init__()
-        self.words, self.beginnings, self.size = words, beginnings, len(words) + len(beginnings)
-        self.lengths = sorted({len(b) for b in beginnings})
-        self._begin()
-
-    def _begin(self) -> None:
-        self.clear()
-        self[END] = 0
-        self.table = array("q", [-1] * 2 * (1 + len(self.lengths)))
+    def __init__(self, words: list[bytes], beginnings: list[str]) -> None:
+        self.lengths, self.size = sorted({len(b) for b in beginnings}), len(words) + len(beginnings)
+        self.words = Numbers(self._hashes(words))
+        self.beginnings = Numbers(self._hashes([b.encode("utf-8", "surrogatepass") for b in beginnings]), len(words))
 
-    def __missing__(self, word: bytes) -> int:
-        text = word.decode("utf-8", "surrogatepass")
-        own = (self.words.get(word, -1), *(
-            self.beginnings.get(text[:n], -1) if len(text) > n else -1 for n in self.lengths
-        ))
-        number = 1
-        if any(t >= 0 for t in own):
-            number = len(self.table) // len(own)
-            self.table.extend(own)
-        self[word] = number
-        return number
+    @staticmethod
+    def _hashes(words: list[bytes]) -> np.ndarray:
+        parts = [np.empty(0, np.uint64)]
+        for low in range(0, len(words), 10_000):
+            parts.append(spellings(np.frombuffer(b" ".join(words[low : low + 10_000]), np.uint8), VALUES, [])[1])
+        return np.concatenate(parts)
 
     def counts(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Terms of each text, ascending, how often each occurs, and where each text's begin."""
-        if len(self) > HELD_WORDS:
-            self._begin()
-        found = (b" " + END + b" ").join([*(t.lower().translate(BLANKS) for t in texts), b""]).split()
-        number = np.fromiter(map(self.__getitem__, found), np.int64, len(found))
-        table, text = np.array(self.table).reshape(-1, 1 + len(self.lengths)), np.cumsum(number == 0)
-        some = number > 1
-        terms = table[number[some]]
-        texts_of = np.repeat(text[some], terms.shape[1]).reshape(terms.shape)
-        known = terms >= 0
-        keys, times = np.unique(texts_of[known] * self.size + terms[known], return_counts=True)
-        edges = np.searchsorted(keys, np.arange(len(texts) + 1) * self.size)
-        return keys % max(self.size, 1), times, edges
+        joined = b" ".join(texts)
+        begins = np.cumsum([0, *(len(t) + 1 for t in texts)])[:-1]
+        keys, low = [np.empty(0, np.int64)], 0
+        while low < len(joined):
+            high = len(joined)
+            if high - low > PIECE:  # up to the next blank, or a very long word's end
+                blank = SEPARATOR.search(joined, low + PIECE)
+                high = blank.start() if blank else high
+            starts, words, longer = spellings(np.frombuffer(joined, np.uint8, high - low, low), VALUES, self.lengths)
+            text = (np.searchsorted(begins, starts + low, "right") - 1) * self.size
+            for own, number in ((slice(None), self.words(words)), *((i, self.beginnings(b)) for i, b in longer)):
+                known = number >= 0
+                keys.append(text[own][known] + number[known])
+            low = high
+        keys, times = np.unique(np.concatenate(keys), return_counts=True)
+        return keys % max(self.size, 1), times, np.searchsorted(keys, np.arange(len(texts) + 1) * self.size)
 
 
 @dataclass
@@ -207,51 +252,64 @@ class Model:
     k: int
     slope: float = 1.0
     offset: float = 0.0
-    _terms: Terms | None = field(default=None, repr=False)
+    terms: Terms | None = field(default=None, repr=False)
 
-    def terms(self) -> Terms:
-        if self._terms is None:
-            words = {w: i for i, w in enumerate(self.words)}
-            self._terms = Terms(words, {b: len(words) + i for i, b in enumerate(self.beginnings)})
-        return self._terms
+    def __post_init__(self) -> None:
+        self.terms = self.terms or Terms(self.words, self.beginnings)
+        self.rest = REST * self.stands_for.mean() if len(self.stands_for) else 0.0
 
-    def __getstate__(self) -> dict:
-        return {**self.__dict__, "_terms": None}
+    def to_send(self) -> Model:
+        """The model without the spelling of its words, which no score needs."""
+        return replace(self, words=[])
 
-    def vectors(self, texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        terms, times, edges = self.terms().counts(texts)
+    def flat(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Terms and weights of the unit vectors of all texts, and where each text's begin."""
+        terms, times, edges = self.terms.counts(texts)
         weights = (1 + np.log(times)) * self.weight[terms]
+        text = np.repeat(np.arange(len(texts)), np.diff(edges))
+        return terms, weights / np.sqrt(np.bincount(text, weights**2, minlength=len(texts)))[text], edges
+
+    def vectors(self, texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        terms, weights, edges = self.flat(texts)
         for low, high in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
-            own = weights[low:high]
-            yield terms[low:high], own / np.sqrt((own**2).sum()) if len(own) else own
+            yield terms[low:high], weights[low:high]
 
-    def vote(self, terms: np.ndarray, weights: np.ndarray, without: int = -1):
-        """Log-odds of the votes, the nearest examples and their similarities."""
-        ids, near = self.index.nearest(terms, weights, self.k, without)
+    def odds(self, ids: np.ndarray, near: np.ndarray) -> float:
+        """Log-odds of the votes of the nearest examples."""
         votes = near**3 * self.stands_for[ids]
-        rest = REST * self.stands_for.mean()
-        share = (votes @ self.label[ids] + rest * self.rate) / (votes.sum() + rest)
+        share = float((votes @ self.label[ids] + self.rest * self.rate) / (votes.sum() + self.rest))
         share = min(max(share, 1e-6), 1 - 1e-6)
-        return np.log(share / (1 - share)), ids, near
+        return math.log(share / (1 - share))
 
     def score(self, terms: np.ndarray, weights: np.ndarray) -> tuple[float, list[dict]]:
         if not len(terms) or not 0 < self.rate < 1:
             return self.rate, []
-        odds, ids, near = self.vote(terms, weights)
-        if not len(ids):
-            return self.rate, []
-        evidence = [
-            {"doc_id": self.example_id[i], "similarity": float(s), "label": int(self.label[i])}
+        ids, near = self.index.nearest(terms, weights, self.k)
+        return self._judged(ids, near), self._evidence(ids, near)
+
+    def scores(self, texts: list[bytes], evidence: bool = False) -> tuple[list[float], list[list[dict]]]:
+        """Scores of all texts; where asked for, what each rests on."""
+        if not 0 < self.rate < 1:
+            return [self.rate] * len(texts), [[] for _ in texts] if evidence else []
+        found = self.index.nearest_each(*self.flat(texts), self.k)
+        return [self._judged(*f) for f in found], [self._evidence(*f) for f in found] if evidence else []
+
+    def _judged(self, ids: np.ndarray, near: np.ndarray) -> float:
+        return 1 / (1 + math.exp(-(self.slope * self.odds(ids, near) + self.offset))) if len(ids) else self.rate
+
+    def _evidence(self, ids: np.ndarray, near: np.ndarray) -> list[dict]:
+        return [
+            {"doc_id": self.example_id[i], "similarity": s, "label": int(self.label[i])}
             for i, s in zip(ids.tolist(), near.tolist(), strict=True)
         ]
-        return float(1 / (1 + np.exp(-(self.slope * odds + self.offset)))), evidence
 
-    def calibrate(self, vectors: list[tuple[np.ndarray, np.ndarray]]) -> None:
+    def calibrate(self, terms: np.ndarray, weights: np.ndarray, edges: np.ndarray) -> None:
         """Slope and offset of the log-odds by weighted logistic regression.
 
         On the examples, each of which the others judge; as a penalty, slope 1 and offset 0.
         """
-        x = np.array([self.vote(t, w, i)[0] for i, (t, w) in enumerate(vectors)])
+        found = self.index.nearest_each(terms, weights, edges, self.k, np.arange(len(edges) - 1))
+        x = np.array([self.odds(*f) for f in found])
         design, beta, prior = np.stack([x, np.ones(len(x))], axis=1), np.array([1.0, 0.0]), np.array([1.0, 0.0])
         weight = self.stands_for / self.stands_for.mean()
         for _ in range(50):
@@ -274,8 +332,8 @@ def _chunks(column: pa.Array) -> Iterator[list[bytes]]:
         yield held
 
 
-def _document_counts(batches: Iterator[pa.RecordBatch], model: Broadcast) -> Iterator[pa.RecordBatch]:
-    terms = model.value.terms()
+def _document_counts(batches: Iterator[pa.RecordBatch], terms: Broadcast) -> Iterator[pa.RecordBatch]:
+    terms = terms.value
     seen = np.zeros(terms.size, np.int64)
     for batch in batches:
         for texts in _chunks(batch.column("text")):
@@ -293,14 +351,16 @@ def _example_words(batch: pa.RecordBatch) -> pa.RecordBatch:
 
 
 def _scored(batch: pa.RecordBatch, model: Broadcast, evidence: bool) -> pa.RecordBatch:
-    fitted, found = model.value, []
+    fitted, scores, found = model.value, [], []
     for texts in _chunks(batch.column("text")):
-        found += [fitted.score(*v) for v in fitted.vectors(texts)]
+        some, because = fitted.scores(texts, evidence)
+        scores += some
+        found += because
     out = {n: batch.column(n) for n in batch.schema.names if n != "text"}
-    out["score"] = pa.array([s for s, _ in found], pa.float64())
+    out["score"] = pa.array(scores, pa.float64())
     if evidence:
         kind = pa.string() if any(isinstance(i, str) for i in fitted.example_id) else pa.int64()
-        out["evidence"] = pa.array([e for _, e in found], pa.list_(pa.struct(
+        out["evidence"] = pa.array(found, pa.list_(pa.struct(
             [("doc_id", kind), ("similarity", pa.float64()), ("label", pa.int32())])))
     return columns(**out)
 
@@ -377,7 +437,7 @@ def fit(
     spark = docs.sparkSession
     importable(spark)
     counted = source.select("text").mapInArrow(
-        partial(_document_counts, model=spark.sparkContext.broadcast(model)), "term long, n long"
+        partial(_document_counts, terms=spark.sparkContext.broadcast(model.terms)), "term long, n long"
     ).groupBy("term").agg(F.sum("n").alias("n")).toArrow()
     df = np.zeros(len(telltale))
     df[counted["term"].to_numpy()] = counted["n"].to_numpy()
@@ -386,23 +446,28 @@ def fit(
     del example, place, rank, term, pairs, known, starts, start_names, counted
     free(spark)  # before the texts come
     # like vectors into the same blocks: by label, then by their most common word, which tells languages apart
-    texts, vectors = in_order.select("text").toArrow()["text"], []
-    for chunk in texts.chunks:
-        for some in _chunks(chunk):
-            vectors += list(model.vectors(some))
+    texts = in_order.select("text").toArrow()["text"]
+    parts = [model.flat(some) for chunk in texts.chunks for some in _chunks(chunk)]
     del texts
-    lightest = [int(t[model.weight[t].argmin()]) if len(t) else -1 for t, _ in vectors]
+    terms = np.concatenate([np.empty(0, np.int64), *(t for t, _, _ in parts)])
+    weights = np.concatenate([np.empty(0), *(w for _, w, _ in parts)])
+    lengths = np.concatenate([np.empty(0, np.int64), *(np.diff(e) for _, _, e in parts)])
+    del parts
+    owner = np.repeat(np.arange(len(ids)), lengths)
+    light = np.lexsort((terms, model.weight[terms], owner))
+    lightest = np.full(len(ids), -1)
+    lightest[lengths > 0] = terms[light[np.flatnonzero(np.diff(owner, prepend=-1))]]
     order = np.lexsort((np.arange(len(ids)), lightest, label))
-    vectors = [vectors[i] for i in order]
+    place = np.empty(len(ids), np.int64)
+    place[order] = np.arange(len(ids))
+    moved = np.argsort(place[owner], kind="stable")
+    terms, weights, edges = terms[moved], weights[moved], np.append(0, np.cumsum(lengths[order]))
+    del owner, light, moved
     model.label, model.stands_for = label[order], model.stands_for[order]
     model.example_id = [model.example_id[i] for i in order]
-    lengths = [len(t) for t, _ in vectors]
-    model.index = BlockMaxIndex.of(
-        np.repeat(np.arange(len(ids)), lengths), np.concatenate([np.empty(0, np.int64), *(t for t, _ in vectors)]),
-        np.concatenate([np.empty(0), *(w for _, w in vectors)]), len(ids), len(telltale),
-    )
+    model.index = BlockMaxIndex.of(np.repeat(np.arange(len(ids)), lengths[order]), terms, weights, len(ids), len(telltale))
     if 0 < rate < 1:
-        model.calibrate(vectors)
+        model.calibrate(terms, weights, edges)
     return model
 
 
@@ -460,7 +525,9 @@ def scored(
     example = "string" if any(isinstance(i, str) for i in model.example_id) else "long"
     extra = f", evidence array<struct<doc_id:{example},similarity:double,label:int>>" if evidence else ""
     return map_batches(
-        source, partial(_scored, model=docs.sparkSession.sparkContext.broadcast(model), evidence=evidence),
+        source, partial(
+            _scored, model=docs.sparkSession.sparkContext.broadcast(model.to_send()), evidence=evidence
+        ),
         f"row {kind}, held_out boolean, score double{extra}",
     ).withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
