@@ -193,3 +193,13 @@ def test_terms_equal_plain_dictionaries(monkeypatch):
         own = slice(edges[i], edges[i + 1])
         assert list(zip(terms[own].tolist(), times[own].tolist(), strict=True)) == sorted(want.items())
     assert found.counts([])[2].tolist() == [0] and len(tx.Terms([], []).counts([b"a b"])[0]) == 0
+
+
+def test_carried_texts_travel_once(spark, model):
+    docs, _, fitted = model
+    for carry, times in ((docs.columns, 0), (["doc_id"], 1)):
+        plan = tx.scored(docs, fitted, carry=carry)._jdf.queryExecution().analyzed().toString()
+        assert plan.count(" AS text#") == times
+    some = docs.where("doc_id % 10 = 0")
+    rows = [{tuple(r) for r in tx.scored(some, fitted, carry=c).select("row.doc_id", "score").collect()} for c in (docs.columns, ["doc_id"])]
+    assert rows[0] == rows[1] and len(rows[0]) == some.count()

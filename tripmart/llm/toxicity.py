@@ -350,9 +350,9 @@ def _example_words(batch: pa.RecordBatch) -> pa.RecordBatch:
     )
 
 
-def _scored(batch: pa.RecordBatch, model: Broadcast, evidence: bool) -> pa.RecordBatch:
+def _scored(batch: pa.RecordBatch, model: Broadcast, text: str, evidence: bool) -> pa.RecordBatch:
     fitted, scores, found = model.value, [], []
-    for texts in _chunks(batch.column("text")):
+    for texts in _chunks(batch.column("text") if "text" in batch.schema.names else batch.column("row").field(text)):
         some, because = fitted.scores(texts, evidence)
         scores += some
         found += because
@@ -519,14 +519,14 @@ def scored(
     source = docs.select(
         F.struct(*(F.col(f"`{c}`") for c in carry)).alias("row"),
         held_out(F.col(doc_id)).alias("held_out"),
-        F.col(text).alias("text"),
+        *([] if text in carry else [F.col(text).alias("text")]),  # else it travels once, in the row
     )
     kind = source.schema["row"].dataType.simpleString()
     example = "string" if any(isinstance(i, str) for i in model.example_id) else "long"
     extra = f", evidence array<struct<doc_id:{example},similarity:double,label:int>>" if evidence else ""
     return map_batches(
         source, partial(
-            _scored, model=docs.sparkSession.sparkContext.broadcast(model.to_send()), evidence=evidence
+            _scored, model=docs.sparkSession.sparkContext.broadcast(model.to_send()), text=text, evidence=evidence
         ),
         f"row {kind}, held_out boolean, score double{extra}",
     ).withColumn("predicted", (F.col("score") >= threshold).cast("int"))
