@@ -15,7 +15,7 @@ import hashlib
 import json
 import re
 import unicodedata
-from functools import cached_property, lru_cache
+from functools import cached_property, partial
 
 import ahocorasick
 import numpy as np
@@ -24,7 +24,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripmart.llm.workers import importable, texts
+from tripmart.llm.workers import importable, lean, texts
 
 CACHED_WORDS = 60_000
 CACHED_PAIRS = 300_000
@@ -274,12 +274,6 @@ class WordBpe:
         return " ".join(self.tokens[i] for i in ids)
 
 
-@lru_cache(maxsize=2)
-def encoder(path: str) -> WordBpe:
-    """One per worker, whose word cache stays between tasks."""
-    return WordBpe(path)
-
-
 ENCODED = {
     "n_tokens": "long", "ids": "array<int>", "decoded": "string",
     "ids_sha256": "string", "decoded_sha256": "string",
@@ -287,6 +281,31 @@ ENCODED = {
 KINDS = {"long": pa.int64(), "array<int>": pa.list_(pa.int32()), "string": pa.string()}
 
 
+def _encoded(batches, vocabulary: str, results: tuple[str, ...]):
+    """The results of a partition; its encoder goes with it, because workers outlive the stage and it takes some 100 MB."""
+    bpe = WordBpe(vocabulary)
+    parts = (b.slice(i, ROWS) for b in batches for i in range(0, b.num_rows, ROWS))
+    for batch in parts:
+        found: dict[str, list] = {name: [] for name in results}
+        for value in texts(batch.column("text")):
+            words = list(bpe.encoded(value))
+            joined = " ".join([w[0] for w in words])
+            decoded = " ".join([w[2] for w in words])
+            made = {
+                "n_tokens": lambda: sum(w[1] for w in words),
+                "ids": lambda: np.array(joined.split(), np.int32),
+                "decoded": lambda: decoded,
+                "ids_sha256": lambda: hashlib.sha256(joined.encode()).hexdigest(),
+                "decoded_sha256": lambda: hashlib.sha256(decoded.encode()).hexdigest(),
+            }
+            for name, values in found.items():
+                values.append(made[name]())
+        yield pa.RecordBatch.from_pydict({
+            "doc_id": batch.column("doc_id"),
+            **{n: pa.array(v, KINDS[ENCODED[n]]) for n, v in found.items()},
+        })
+
+
 def encoded(
     docs: DataFrame,
     vocabulary: str,
@@ -308,31 +327,8 @@ def encoded(
     source = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     kind = source.schema["doc_id"].dataType.simpleString()
 
-    def run(batches):
-        bpe = encoder(vocabulary)
-        parts = (b.slice(i, ROWS) for b in batches for i in range(0, b.num_rows, ROWS))
-        for batch in parts:
-            found: dict[str, list] = {name: [] for name in results}
-            for value in texts(batch.column("text")):
-                words = list(bpe.encoded(value))
-                joined = " ".join([w[0] for w in words])
-                decoded = " ".join([w[2] for w in words])
-                made = {
-                    "n_tokens": lambda: sum(w[1] for w in words),
-                    "ids": lambda: np.array(joined.split(), np.int32),
-                    "decoded": lambda: decoded,
-                    "ids_sha256": lambda: hashlib.sha256(joined.encode()).hexdigest(),
-                    "decoded_sha256": lambda: hashlib.sha256(decoded.encode()).hexdigest(),
-                }
-                for name, values in found.items():
-                    values.append(made[name]())
-            yield pa.RecordBatch.from_pydict({
-                "doc_id": batch.column("doc_id"),
-                **{n: pa.array(v, KINDS[ENCODED[n]]) for n, v in found.items()},
-            })
-
     schema = ", ".join([f"doc_id {kind}", *(f"{n} {ENCODED[n]}" for n in results)])
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(lean(partial(_encoded, vocabulary=vocabulary, results=results)), schema)
 
 
 def op6_bpe(spark, sf_dir: str) -> DataFrame:

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from tripmart.llm import hashing
 from tripmart.llm.components import components
-from tripmart.llm.workers import columns, free, importable, map_batches
+from tripmart.llm.workers import columns, free, importable, lean, map_batches, slices
 from tripmart.storage import ensure_checkpoint_dir
 
 SHINGLE = 5
@@ -107,7 +107,7 @@ def idf_table(docs: DataFrame) -> np.ndarray:
     text stays near its copies however many there are.
     """
     importable(docs.sparkSession)
-    counted = docs.select("text").mapInArrow(_frequencies, "cell long, n long")
+    counted = docs.select("text").mapInArrow(lean(_frequencies), "cell long, n long")
     rows = counted.groupBy("cell").agg(F.sum("n").alias("n")).toArrow()  # one row a cell
     df = np.zeros(IDF_CELLS)
     df[rows["cell"].to_numpy()] = rows["n"].to_numpy()
@@ -229,7 +229,7 @@ def _groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[dict
     """Runs of rows with equal keys out of a partition sorted by them."""
     held: dict[str, list] = {}
     current = None
-    for batch in batches:
+    for batch in slices(batches):
         rows = batch.to_pydict()
         marks = list(zip(*(rows[k] for k in keys), strict=True))
         start = 0
@@ -291,7 +291,7 @@ def _families(texts: DataFrame) -> DataFrame:
         return (
             dealt.join(texts.select("digest", "sig"), "digest").select("bucket", "part", "digest", "sig")
             .repartition(n, "bucket", "part").sortWithinPartitions("bucket", "part", "digest")
-            .mapInArrow(_canopies, "bucket long, a string, b string").checkpoint()
+            .mapInArrow(lean(_canopies), "bucket long, a string, b string").checkpoint()
         )
 
     parts = F.ceil(F.col("count") / BLOCK).cast("int")
@@ -438,7 +438,7 @@ def _links(source: DataFrame, families: DataFrame, texts: DataFrame, idf: np.nda
             source.join(sent, own).select(source["digest"], "text", "label", F.explode("places").alias("to"))
             .select("label", "to.i", "to.j", "to.side", "digest", "text")
             .repartition(n, "label", "i", "j").sortWithinPartitions("label", "i", "j", "digest")
-            .mapInArrow(partial(_verified, idf=idf, across=across), "a string, b string").checkpoint()
+            .mapInArrow(lean(partial(_verified, idf=idf, across=across)), "a string, b string").checkpoint()
         )
 
     def place(i, j, side: int):

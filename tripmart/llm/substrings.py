@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripmart.llm import hashing
-from tripmart.llm.workers import importable
+from tripmart.llm.workers import give_back, importable
 
 WINDOW = 13
 SEED = 7
@@ -36,15 +36,13 @@ SECOND = 0xD1B54A32D192ED03
 class Batch:
     """Word hashes of a batch of documents, end to end, and what is derived from them."""
 
-    def __init__(self, table: pa.Table, keep_words: bool = False) -> None:
+    def __init__(self, table: pa.Table) -> None:
         ids = table.column("id").to_numpy(zero_copy_only=False).astype(np.int64)
-        hashes, lengths, self.words = [], [], []
+        hashes, lengths = [], []
         for text in table.column("text"):
             words = hashing.split(text.as_py())
             hashes.append(hashing.word_hashes(words))
             lengths.append(len(words))
-            if keep_words:
-                self.words.append(words)
         self.hashes = np.concatenate(hashes) if hashes else np.empty(0, np.uint64)
         self.lengths = np.array(lengths, np.int64)
         self.starts = np.concatenate([[0], np.cumsum(self.lengths)]).astype(np.int64)
@@ -193,7 +191,7 @@ RESULTS = {
 
 def _cut(table: pa.Table, sources: pa.Table, results: tuple[str, ...]) -> pa.Table:
     """The documents of a batch without the words of repeated paths."""
-    batch = Batch(table, keep_words=True)
+    batch = Batch(table)
     n = len(batch.row)
     one, two = batch.edges()
     source_doc, source_pos, _ = _sources(
@@ -216,7 +214,7 @@ def _cut(table: pa.Table, sources: pa.Table, results: tuple[str, ...]) -> pa.Tab
     np.add.at(step, batch.at[first], 1)
     np.add.at(step, batch.at[first] + size, -1)
     removed = np.cumsum(step[:-1]) > 0
-    spans: list[list] = [[] for _ in batch.words] if "spans" in results else []
+    spans: list[list] = [[] for _ in batch.lengths] if "spans" in results else []
     if spans:
         for r, start, count, doc, at in zip(
             batch.row[first].tolist(), batch.pos[first].tolist(), size.tolist(),
@@ -224,8 +222,9 @@ def _cut(table: pa.Table, sources: pa.Table, results: tuple[str, ...]) -> pa.Tab
         ):
             spans[r].append({"start": start, "n_words": count, "source_id": doc, "source_start": at})
     kept = []
-    n_removed = np.zeros(len(batch.words), np.int64)
-    for r, words in enumerate(batch.words):
+    n_removed = np.zeros(len(batch.lengths), np.int64)
+    for r, text in enumerate(table.column("text")):  # split again: the words of a batch take ten times its text
+        words = hashing.split(text.as_py())
         gone = removed[batch.starts[r] : batch.starts[r + 1]]
         n_removed[r] = gone.sum()
         if n_removed[r]:
@@ -289,7 +288,9 @@ def cut_repeats(
         return _edges(table, flags, buckets)
 
     def cut(table: pa.Table, sources: pa.Table) -> pa.Table:
-        return _cut(table, sources, results)
+        documents = _cut(table, sources, results)
+        give_back()  # groups have no end of a task
+        return documents
 
     seeds = dealt.groupBy("batch").applyInArrow(
         seeds_of, "bucket long, batch long, seeds binary, several binary"

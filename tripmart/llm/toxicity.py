@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from tripmart.llm.hashing import Numbers, byte_values, spellings
 from tripmart.llm.lexical import BLANKS, TERM_BYTES
-from tripmart.llm.workers import columns, free, importable, map_batches
+from tripmart.llm.workers import columns, free, importable, lean, map_batches
 from tripmart.storage import ensure_checkpoint_dir
 
 THRESHOLD = 0.3
@@ -40,7 +40,7 @@ VALUES, SEPARATOR = byte_values(TERM_BYTES), re.compile(rb"[\x00-\x2F\x3A-\x40\x
 #: Vectors of a block of the index.
 PER_BLOCK = 64
 #: Queries of one product with the long lists, and postings of the short lists of those looked at together.
-QUERIES, POSTINGS = 256, 400_000
+QUERIES, POSTINGS = 64, 400_000
 #: More than what sums of 32 bits are off by.
 ROUNDING = 1e-5
 
@@ -437,7 +437,7 @@ def fit(
     spark = docs.sparkSession
     importable(spark)
     counted = source.select("text").mapInArrow(
-        partial(_document_counts, terms=spark.sparkContext.broadcast(model.terms)), "term long, n long"
+        lean(partial(_document_counts, terms=spark.sparkContext.broadcast(model.terms))), "term long, n long"
     ).groupBy("term").agg(F.sum("n").alias("n")).toArrow()
     df = np.zeros(len(telltale))
     df[counted["term"].to_numpy()] = counted["n"].to_numpy()
