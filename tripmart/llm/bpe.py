@@ -24,7 +24,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripmart.llm.workers import importable, lean, texts
+from tripmart.llm.workers import importable, kept, lean, texts
 
 CACHED_WORDS = 60_000
 CACHED_PAIRS = 300_000
@@ -282,8 +282,8 @@ KINDS = {"long": pa.int64(), "array<int>": pa.list_(pa.int32()), "string": pa.st
 
 
 def _encoded(batches, vocabulary: str, results: tuple[str, ...]):
-    """The results of a partition; its encoder goes with it, because workers outlive the stage and it takes some 100 MB."""
-    bpe = WordBpe(vocabulary)
+    """The results of a partition, by an encoder that tasks of this kind keep: it takes a second to make, and some 100 MB."""
+    bpe = kept(WordBpe, vocabulary)
     parts = (b.slice(i, ROWS) for b in batches for i in range(0, b.num_rows, ROWS))
     for batch in parts:
         found: dict[str, list] = {name: [] for name in results}
@@ -328,7 +328,7 @@ def encoded(
     kind = source.schema["doc_id"].dataType.simpleString()
 
     schema = ", ".join([f"doc_id {kind}", *(f"{n} {ENCODED[n]}" for n in results)])
-    return source.mapInArrow(lean(partial(_encoded, vocabulary=vocabulary, results=results)), schema)
+    return source.mapInArrow(lean(partial(_encoded, vocabulary=vocabulary, results=results), keeps=True), schema)
 
 
 def op6_bpe(spark, sf_dir: str) -> DataFrame:
